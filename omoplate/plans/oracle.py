@@ -168,3 +168,101 @@ ORACLE_SQL: dict[str, str] = {
     "visit_concept": VISIT_CONCEPT,
     "visit_occurrence": VISIT_OCCURRENCE,
 }
+
+
+# -- vocabulary -------------------------------------------------------------------
+
+BRAND_NO = "CAST(substr(p_brand, 7) AS INTEGER)"
+DATA = """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+    CASE WHEN l.l_linenumber <= 5 THEN p.p_brand
+         ELSE 'Brand#' || CAST((l.l_partkey + l.l_suppkey) % 25 + 1 AS VARCHAR) END AS vocabulary_id,
+    CASE WHEN l.l_linenumber % 2 = 1 THEN p.p_name ELSE 'C' || CAST(l.l_partkey AS VARCHAR) END AS source_value
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+SV_LOOKUP = f"""SELECT p_brand AS mv,
+    CASE WHEN {BRAND_NO} <= 15 THEN p_name ELSE 'C' || CAST(p_partkey AS VARCHAR) END AS mk,
+    MAX(p_partkey) AS cid
+  FROM part WHERE {BRAND_NO} <= 20 GROUP BY 1, 2"""
+EDGES = """SELECT p_partkey AS c1, MAX(p_partkey - p_partkey % 3) AS c2 FROM part
+  WHERE p_partkey % 2 = 0 GROUP BY 1"""
+MAPPED = f"""SELECT d.*, CAST(s.cid AS BIGINT) AS source_concept_id, CAST(COALESCE(e.c2, 0) AS BIGINT) AS concept_id
+  FROM ({DATA}) d
+  LEFT JOIN ({SV_LOOKUP}) s ON d.vocabulary_id = s.mv AND d.source_value = s.mk
+  LEFT JOIN ({EDGES}) e ON s.cid = e.c1"""
+
+MAP_SOURCE_VALUE = f"""SELECT d.*, CAST(s.cid AS BIGINT) AS source_concept_id
+  FROM ({DATA}) d LEFT JOIN ({SV_LOOKUP}) s ON d.vocabulary_id = s.mv AND d.source_value = s.mk"""
+
+MAP_STANDARD = MAPPED
+
+
+def _fb_lookup(brand: str, by: str) -> str:
+    key = "p_name" if by == "concept_name" else "'C' || CAST(p_partkey AS VARCHAR)"
+    return f"""SELECT k, c.cid AS fs, COALESCE(e.c2, 0) AS fc FROM
+      (SELECT {key} AS k, MAX(p_partkey) AS cid FROM part WHERE p_brand = '{brand}' GROUP BY 1) c
+      LEFT JOIN ({EDGES}) e ON c.cid = e.c1"""
+
+
+FALLBACK_MAPPING = f"""WITH m AS ({MAPPED}),
+f AS (SELECT m.*, m.concept_id IS NULL OR m.concept_id = 0 AS open_,
+        a.fs AS fs0, COALESCE(a.fc, 0) AS fc0, b.fs AS fs1, COALESCE(b.fc, 0) AS fc1
+      FROM m LEFT JOIN ({_fb_lookup('Brand#21', 'concept_name')}) a ON m.source_value = a.k
+             LEFT JOIN ({_fb_lookup('Brand#22', 'concept_code')}) b ON m.source_value = b.k),
+r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, source_value,
+        CASE WHEN NOT open_ THEN vocabulary_id WHEN fc0 <> 0 THEN 'Brand#21' ELSE 'Brand#22' END AS vocabulary_id,
+        CAST(CASE WHEN NOT open_ THEN source_concept_id WHEN fc0 <> 0 THEN fs0 ELSE fs1 END AS BIGINT)
+          AS source_concept_id,
+        CAST(CASE WHEN NOT open_ THEN concept_id WHEN fc0 <> 0 THEN fc0 ELSE fc1 END AS BIGINT) AS concept_id
+      FROM f)
+SELECT *, concept_id IS NULL OR concept_id = 0 AS still_unmapped FROM r"""
+
+OVERRIDE_MAPPINGS = f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, vocabulary_id, source_value,
+    source_concept_id,
+    CAST(CASE WHEN (concept_id IS NULL OR concept_id = 0) AND source_value IN ('red plate', 'small widget', 'C7')
+         THEN CASE source_value WHEN 'red plate' THEN 1001 WHEN 'small widget' THEN 1002 ELSE 1003 END
+         ELSE concept_id END AS BIGINT) AS concept_id
+  FROM ({MAPPED}) m"""
+
+UNMAPPED_VALUES = f"""SELECT DISTINCT source_value FROM ({MAPPED}) m WHERE concept_id IS NULL OR concept_id = 0"""
+
+UNMAPPED_REPORT = f"""WITH m AS ({MAPPED})
+SELECT DISTINCT source_value, source_concept_id, concept_id, vocabulary_id FROM m
+WHERE source_value IN (SELECT source_value FROM m WHERE concept_id IS NULL OR concept_id = 0)"""
+
+UNIT_MAPPING = f"""WITH d AS (SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey,
+        p.p_name AS measurement_source_value FROM ({DATA}) x JOIN part p ON x.l_partkey = p.p_partkey),
+u AS (SELECT 8000 + n_nationkey AS concept_id, lower(n_name) AS concept_name,
+        'u' || CAST(n_nationkey AS VARCHAR) AS concept_code,
+        CASE WHEN n_regionkey % 2 = 0 THEN 'UCUM' ELSE 'SNOMED' END AS vocabulary_id FROM nation),
+clc AS (SELECT p_name AS k, MAX(CASE WHEN p_size % 2 = 0 THEN 'u' || CAST(p_partkey % 25 AS VARCHAR)
+          ELSE 'nation_' || CAST(p_partkey % 25 AS VARCHAR) END) AS v FROM part GROUP BY 1),
+ucum AS (SELECT concept_code AS k, MAX(concept_id) AS id FROM u WHERE vocabulary_id = 'UCUM' GROUP BY 1),
+snomed AS (SELECT concept_name AS k, MAX(concept_id) AS id FROM u WHERE vocabulary_id = 'SNOMED' GROUP BY 1)
+SELECT d.*, clc.v AS unit_source_value,
+  CASE WHEN ucum.id IS NOT NULL THEN 'UCUM' ELSE 'SNOMED' END AS unit_vocabulary_id,
+  CAST(COALESCE(ucum.id, snomed.id) AS BIGINT) AS unit_source_concept_id
+FROM d LEFT JOIN clc ON d.measurement_source_value = clc.k
+  LEFT JOIN ucum ON clc.v = ucum.k LEFT JOIN snomed ON clc.v = snomed.k"""
+
+CONCEPT = """SELECT CAST(p_partkey AS BIGINT) AS concept_id, p_name AS concept_name, p_brand AS vocabulary_id,
+    CASE WHEN p_partkey % 3 = 0 THEN 'S' END AS standard_concept FROM part"""
+REL = """SELECT CAST(p_partkey AS BIGINT) AS concept_id_1,
+    CASE WHEN p_partkey % 2 = 0 THEN 'Maps to' ELSE 'Is a' END AS relationship_id,
+    CAST(p_partkey - p_partkey % 3 AS BIGINT) AS concept_id_2 FROM part"""
+
+WIDE_RELATIONSHIP = f"""WITH c AS ({CONCEPT}), r AS ({REL})
+SELECT a.concept_id AS concept_id_1, a.concept_name AS concept_name_1, a.vocabulary_id AS vocabulary_id_1,
+  a.standard_concept AS standard_concept_1, r.concept_id_1 AS ci_1, r.relationship_id AS relationship,
+  r.concept_id_2 AS ci_2, b.concept_id AS concept_id_2, b.concept_name AS concept_name_2,
+  b.vocabulary_id AS vocabulary_id_2, b.standard_concept AS standard_concept_2
+FROM c a LEFT JOIN r ON a.concept_id = r.concept_id_1 LEFT JOIN c b ON r.concept_id_2 = b.concept_id"""
+
+ORACLE_SQL.update({
+    "map_source_value": MAP_SOURCE_VALUE,
+    "map_standard": MAP_STANDARD,
+    "fallback_mapping": FALLBACK_MAPPING,
+    "override_mappings": OVERRIDE_MAPPINGS,
+    "unmapped_values": UNMAPPED_VALUES,
+    "unmapped_report": UNMAPPED_REPORT,
+    "unit_mapping": UNIT_MAPPING,
+    "wide_relationship": WIDE_RELATIONSHIP,
+})

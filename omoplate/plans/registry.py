@@ -97,3 +97,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "visit_concept": q_visit_concept,
     "visit_occurrence": q_visit_occurrence,
 }
+
+
+# -- vocabulary -------------------------------------------------------------------
+
+from omoplate.operators import vocab as vo  # noqa: E402
+
+# brands 1-15 map by name, 16-20 by code, 21-25 are not configured
+TARGET_VOCAB = {f"Brand#{i}": ("concept_name" if i <= 15 else "concept_code") for i in range(1, 21)}
+FALLBACK_VOCABS = {"Brand#21": "concept_name", "Brand#22": "concept_code"}
+OVERRIDES = {"red plate": 1001, "small widget": 1002, "C7": 1003}
+MAP_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def _mapped(spark: SparkSession, sf: str) -> DataFrame:
+    df = vo.map_source_value(td.mapping_data(spark, sf), TARGET_VOCAB, td.concept(spark, sf))
+    return vo.map_source_concept_id(df, td.concept_relationship(spark, sf))
+
+
+def q_map_source_value(spark: SparkSession, sf: str) -> DataFrame:
+    return vo.map_source_value(td.mapping_data(spark, sf), TARGET_VOCAB, td.concept(spark, sf))
+
+
+def q_map_standard(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped(spark, sf)
+
+
+def q_fallback_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    out, still = vo.fallback_mapping(_mapped(spark, sf), td.concept(spark, sf), td.concept_relationship(spark, sf),
+                                     FALLBACK_VOCABS, "source_value", "source_concept_id", "concept_id")
+    return out.withColumn("still_unmapped", still)
+
+
+def q_override_mappings(spark: SparkSession, sf: str) -> DataFrame:
+    return vo.update_concept_mappings(_mapped(spark, sf), "source_value", "concept_id", OVERRIDES)
+
+
+def q_unmapped_values(spark: SparkSession, sf: str) -> DataFrame:
+    return vo.find_unmapped_values(_mapped(spark, sf), "source_value", "concept_id")
+
+
+def q_unmapped_report(spark: SparkSession, sf: str) -> DataFrame:
+    df = _mapped(spark, sf)
+    values = vo.find_unmapped_values(df, "source_value", "concept_id")
+    return vo.report_unmapped(df, values, "source_value", "source_concept_id", "concept_id", ["vocabulary_id"])
+
+
+def q_unit_mapping(spark: SparkSession, sf: str) -> DataFrame:
+    part = td.table(spark, sf, "part").select("p_partkey", "p_name")
+    df = td.mapping_data(spark, sf).join(part, F.col("l_partkey") == part.p_partkey).select(
+        *MAP_KEYS, F.col("p_name").alias("measurement_source_value"))
+    df = vo.apply_value_lookup(df, td.unit_table(spark, sf), "measurement_source_value", "NombreConvCLC",
+                               "UnidadConv", "unit_source_value")
+    return vo.map_units(df, td.unit_concept(spark, sf))
+
+
+def q_wide_relationship(spark: SparkSession, sf: str) -> DataFrame:
+    c = td.concept(spark, sf).select("concept_id", "concept_name", "vocabulary_id", "standard_concept")
+    return vo.wide_relationship(c, td.concept_relationship(spark, sf))
+
+
+QUERIES.update({
+    "map_source_value": q_map_source_value,
+    "map_standard": q_map_standard,
+    "fallback_mapping": q_fallback_mapping,
+    "override_mappings": q_override_mappings,
+    "unmapped_values": q_unmapped_values,
+    "unmapped_report": q_unmapped_report,
+    "unit_mapping": q_unit_mapping,
+    "wide_relationship": q_wide_relationship,
+})

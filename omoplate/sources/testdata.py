@@ -89,3 +89,46 @@ def concept_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.lit("Maps to")).otherwise(F.lit("Is a")).alias("relationship_id"),
         (k - k % 3).alias("concept_id_2"),
     )
+
+
+# -- vocabulary-shaped inputs ---------------------------------------------------
+
+def mapping_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded records: a line item's part as (vocabulary, source value).
+
+    Odd lines carry the part name, even lines its code; lines after the
+    fifth claim another brand, so some values do not match.
+    """
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    other_brand = F.concat(F.lit("Brand#"), ((F.col("l_partkey") + F.col("l_suppkey")) % 25 + 1).cast("string"))
+    return j.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.when(F.col("l_linenumber") <= 5, F.col("p_brand")).otherwise(other_brand).alias("vocabulary_id"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name"))
+         .otherwise(F.concat(F.lit("C"), F.col("l_partkey").cast("string"))).alias("source_value"),
+    )
+
+
+def unit_concept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unit concepts from ``nation``: UCUM (by code) or SNOMED (by name)."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(
+        (F.col("n_nationkey") + 8000).cast("long").alias("concept_id"),
+        F.lower("n_name").alias("concept_name"),
+        F.lit("Unit").alias("domain_id"),
+        F.when(F.col("n_regionkey") % 2 == 0, F.lit("UCUM")).otherwise(F.lit("SNOMED")).alias("vocabulary_id"),
+        F.lit("Unit").alias("concept_class_id"),
+        F.lit("S").alias("standard_concept"),
+        F.concat(F.lit("u"), F.col("n_nationkey").cast("string")).alias("concept_code"),
+    )
+
+
+def unit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lab-name -> unit text table (the CLC shape) from ``part``."""
+    p = table(spark, sf_dir, "part")
+    k = (F.col("p_partkey") % 25).cast("string")
+    return p.select(F.col("p_name").alias("NombreConvCLC"),
+                    F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("u"), k))
+                     .otherwise(F.concat(F.lit("nation_"), k)).alias("UnidadConv"))
