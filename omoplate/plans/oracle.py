@@ -266,3 +266,129 @@ ORACLE_SQL.update({
     "unit_mapping": UNIT_MAPPING,
     "wide_relationship": WIDE_RELATIONSHIP,
 })
+
+
+# -- clinical event tables ---------------------------------------------------------
+
+REC = """SELECT o.o_custkey AS person_id, l.l_shipdate AS start_date,
+    l.l_shipdate + to_days(CAST(CAST(l.l_quantity AS BIGINT) % 30 AS INTEGER)) AS end_date,
+    CAST(32817 AS BIGINT) AS type_concept,
+    CASE WHEN l.l_linenumber <= 5 THEN p.p_brand
+         ELSE 'Brand#' || CAST((l.l_partkey + l.l_suppkey) % 25 + 1 AS VARCHAR) END AS vocabulary_id,
+    CASE WHEN l.l_linenumber % 2 = 1 THEN p.p_name ELSE 'C' || CAST(l.l_partkey AS VARCHAR) END AS source_value,
+    l.l_linenumber, l.l_quantity, l.l_partkey
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+ORDER_VISITS = """SELECT person_id, vs, ve, MIN(vid) AS vid FROM (
+    SELECT o_custkey AS person_id, date_trunc('millisecond', o_orderdate) AS vs,
+      date_trunc('millisecond', o_orderdate + to_days(CAST(o_orderkey % 20 AS INTEGER))) AS ve,
+      o_orderkey AS vid FROM orders) x
+  GROUP BY 1, 2, 3 HAVING COUNT(*) = 1"""
+
+
+def link_ctes(src: str, id_col: str, p: str) -> str:
+    return f"""
+{p}_v AS ({ORDER_VISITS}),
+{p}_m AS (SELECT e.{id_col} AS _eid, v.vid, row_number() OVER (PARTITION BY e.{id_col} ORDER BY v.vs, v.ve, v.vid) AS _rk
+  FROM {src} e JOIN {p}_v v ON e.person_id = v.person_id
+   AND date_trunc('millisecond', e.start_date) BETWEEN v.vs AND v.ve),
+{p}_out AS (SELECT s.*, CAST(m.vid AS BIGINT) AS visit_occurrence_id FROM {src} s
+  LEFT JOIN {p}_m m ON s.{id_col} = m._eid AND m._rk = 1)"""
+
+
+def _nl(cols: str) -> str:
+    return ", ".join(f"{c.strip()} ASC NULLS LAST" for c in cols.split(","))
+
+
+CONDITION = f"""WITH r AS ({REC}),
+m AS (SELECT r.person_id, r.start_date, r.end_date, r.type_concept, r.source_value AS condition_source_value,
+        r.vocabulary_id, CAST(s.cid AS BIGINT) AS src, CAST(COALESCE(e.c2, 0) AS BIGINT) AS std
+      FROM r LEFT JOIN ({SV_LOOKUP}) s ON r.vocabulary_id = s.mv AND r.source_value = s.mk
+      LEFT JOIN ({EDGES}) e ON s.cid = e.c1),
+f AS (SELECT m.*, m.std = 0 AS open_, a.fs AS fs0, COALESCE(a.fc, 0) AS fc0, b.fs AS fs1, COALESCE(b.fc, 0) AS fc1
+      FROM m LEFT JOIN ({_fb_lookup('Brand#21', 'concept_name')}) a ON m.condition_source_value = a.k
+             LEFT JOIN ({_fb_lookup('Brand#22', 'concept_code')}) b ON m.condition_source_value = b.k),
+g AS (SELECT person_id, start_date, end_date, type_concept, condition_source_value,
+        CASE WHEN NOT open_ THEN vocabulary_id WHEN fc0 <> 0 THEN 'Brand#21' ELSE 'Brand#22' END AS vocabulary_id,
+        CAST(CASE WHEN NOT open_ THEN src WHEN fc0 <> 0 THEN fs0 ELSE fs1 END AS BIGINT) AS condition_source_concept_id,
+        CAST(CASE WHEN NOT open_ THEN std WHEN fc0 <> 0 THEN fc0 ELSE fc1 END AS BIGINT) AS condition_concept_id
+      FROM f),
+k AS (SELECT *, CAST(row_number() OVER (ORDER BY {_nl('person_id, start_date, end_date, condition_source_value, vocabulary_id, type_concept, condition_source_concept_id, condition_concept_id')}) - 1 AS BIGINT) AS condition_occurrence_id FROM g),
+{link_ctes('k', 'condition_occurrence_id', 'lk')}
+SELECT condition_occurrence_id, CAST(person_id AS BIGINT) AS person_id, condition_concept_id,
+  CAST(start_date AS DATE) AS condition_start_date, start_date AS condition_start_datetime,
+  CAST(end_date AS DATE) AS condition_end_date, end_date AS condition_end_datetime,
+  type_concept AS condition_type_concept_id, CAST(NULL AS BIGINT) AS condition_status_concept_id,
+  CAST(NULL AS VARCHAR) AS stop_reason, CAST(NULL AS BIGINT) AS provider_id, visit_occurrence_id,
+  CAST(NULL AS BIGINT) AS visit_detail_id, condition_source_value, condition_source_concept_id,
+  CAST(NULL AS VARCHAR) AS condition_status_source_value
+FROM lk_out"""
+
+DRUG = f"""WITH r AS ({REC}),
+m AS (SELECT r.person_id, r.start_date, r.end_date, r.type_concept, r.source_value AS drug_source_value,
+        r.vocabulary_id, CAST(s.cid AS BIGINT) AS drug_source_concept_id,
+        CAST(COALESCE(e.c2, 0) AS BIGINT) AS std
+      FROM r LEFT JOIN ({SV_LOOKUP}) s ON r.vocabulary_id = s.mv AND r.source_value = s.mk
+      LEFT JOIN ({EDGES}) e ON s.cid = e.c1),
+g AS (SELECT * EXCLUDE (std), CAST(CASE WHEN std = 0 AND drug_source_value = 'red plate' THEN 99
+        WHEN std = 0 AND drug_source_value = 'C8' THEN 12 ELSE std END AS BIGINT) AS drug_concept_id FROM m),
+k AS (SELECT *, CAST(row_number() OVER (ORDER BY {_nl('person_id, start_date, end_date, drug_source_value, vocabulary_id, type_concept, drug_source_concept_id, drug_concept_id')}) - 1 AS BIGINT) AS drug_exposure_id FROM g),
+{link_ctes('k', 'drug_exposure_id', 'lk')}
+SELECT drug_exposure_id, CAST(person_id AS BIGINT) AS person_id, drug_concept_id,
+  CAST(start_date AS DATE) AS drug_exposure_start_date, start_date AS drug_exposure_start_datetime,
+  CAST(end_date AS DATE) AS drug_exposure_end_date, end_date AS drug_exposure_end_datetime,
+  CAST(NULL AS DATE) AS verbatim_end_date, type_concept AS drug_type_concept_id,
+  CAST(NULL AS VARCHAR) AS stop_reason, CAST(NULL AS BIGINT) AS refills, CAST(NULL AS DOUBLE) AS quantity,
+  CAST(NULL AS BIGINT) AS days_supply, CAST(NULL AS VARCHAR) AS sig, CAST(NULL AS BIGINT) AS route_concept_id,
+  CAST(NULL AS VARCHAR) AS lot_number, CAST(NULL AS BIGINT) AS provider_id, visit_occurrence_id,
+  CAST(NULL AS BIGINT) AS visit_detail_id, drug_source_value, drug_source_concept_id,
+  CAST(NULL AS VARCHAR) AS route_source_value, CAST(NULL AS VARCHAR) AS dose_unit_source_value
+FROM lk_out"""
+
+MEASUREMENT = f"""WITH r AS ({REC}),
+d AS (SELECT r.person_id, r.start_date, r.end_date, r.type_concept, r.vocabulary_id,
+        r.source_value AS measurement_source_value, CAST(r.l_quantity AS VARCHAR) AS value_source_value,
+        CAST(NULL AS VARCHAR) AS value_vocabulary_id, TRUE AS is_values FROM r WHERE r.l_linenumber <= 4
+      UNION ALL
+      SELECT r.person_id, r.start_date, r.end_date, r.type_concept, r.vocabulary_id,
+        r.source_value, p.p_name, p.p_brand, FALSE FROM r JOIN part p ON r.l_partkey = p.p_partkey
+      WHERE r.l_linenumber > 4),
+u AS (SELECT 8000 + n_nationkey AS concept_id, lower(n_name) AS concept_name,
+        'u' || CAST(n_nationkey AS VARCHAR) AS concept_code,
+        CASE WHEN n_regionkey % 2 = 0 THEN 'UCUM' ELSE 'SNOMED' END AS vocabulary_id FROM nation),
+clc AS (SELECT p_name AS k, MAX(CASE WHEN p_size % 2 = 0 THEN 'u' || CAST(p_partkey % 25 AS VARCHAR)
+          ELSE 'nation_' || CAST(p_partkey % 25 AS VARCHAR) END) AS v FROM part GROUP BY 1),
+ucum AS (SELECT concept_code AS k, MAX(concept_id) AS id FROM u WHERE vocabulary_id = 'UCUM' GROUP BY 1),
+snomed AS (SELECT concept_name AS k, MAX(concept_id) AS id FROM u WHERE vocabulary_id = 'SNOMED' GROUP BY 1),
+e AS ({EDGES}), s AS ({SV_LOOKUP}),
+m AS (SELECT d.*, CAST(s1.cid AS BIGINT) AS measurement_source_concept_id,
+        CASE WHEN d.is_values THEN CAST(d.value_source_value AS DOUBLE) END AS value_as_number,
+        CAST(CASE WHEN NOT d.is_values THEN s2.cid END AS BIGINT) AS value_source_concept_id,
+        clc.v AS unit_source_value, CAST(COALESCE(ucum.id, snomed.id) AS BIGINT) AS unit_source_concept_id
+      FROM d LEFT JOIN s s1 ON d.vocabulary_id = s1.mv AND d.measurement_source_value = s1.mk
+      LEFT JOIN s s2 ON d.value_vocabulary_id = s2.mv AND d.value_source_value = s2.mk
+      LEFT JOIN clc ON d.measurement_source_value = clc.k
+      LEFT JOIN ucum ON clc.v = ucum.k LEFT JOIN snomed ON clc.v = snomed.k),
+n AS (SELECT m.*, COALESCE(e1.c2, 0) AS mc, COALESCE(e2.c2, 0) AS uc, COALESCE(e3.c2, 0) AS vc,
+        TRY_CAST(m.value_source_value AS DOUBLE) IS NOT NULL AS numeric_
+      FROM m LEFT JOIN e e1 ON m.measurement_source_concept_id = e1.c1
+      LEFT JOIN e e2 ON m.unit_source_concept_id = e2.c1 LEFT JOIN e e3 ON m.value_source_concept_id = e3.c1),
+o AS (SELECT n.*,
+        CAST(CASE WHEN mc = 0 AND measurement_source_value = 'hot ring' THEN 198 ELSE mc END AS BIGINT)
+          AS measurement_concept_id,
+        CAST(CASE WHEN (NOT numeric_ OR uc = 0) AND unit_source_value = 'u3' THEN 8003
+                  WHEN numeric_ THEN uc END AS BIGINT) AS unit_concept_id,
+        CAST(CASE WHEN NOT numeric_ THEN vc END AS BIGINT) AS value_as_concept_id FROM n),
+k AS (SELECT *, CAST(row_number() OVER (ORDER BY {_nl('person_id, start_date, end_date, measurement_source_value, vocabulary_id, value_source_value, value_vocabulary_id, type_concept')}) - 1 AS BIGINT) AS measurement_id FROM o),
+{link_ctes('k', 'measurement_id', 'lk')}
+SELECT measurement_id, CAST(person_id AS BIGINT) AS person_id, measurement_concept_id,
+  CAST(start_date AS DATE) AS measurement_date, CAST(NULL AS TIMESTAMP) AS measurement_datetime,
+  CAST(NULL AS VARCHAR) AS measurement_time, type_concept AS measurement_type_concept_id,
+  CAST(NULL AS BIGINT) AS operator_concept_id, value_as_number, value_as_concept_id, unit_concept_id,
+  CAST(NULL AS DOUBLE) AS range_low, CAST(NULL AS DOUBLE) AS range_high, CAST(NULL AS BIGINT) AS provider_id,
+  visit_occurrence_id, CAST(NULL AS BIGINT) AS visit_detail_id, measurement_source_value,
+  measurement_source_concept_id, unit_source_value, unit_source_concept_id, value_source_value,
+  CAST(NULL AS BIGINT) AS measurement_event_id, CAST(NULL AS BIGINT) AS meas_event_field_concept_id
+FROM lk_out"""
+
+ORACLE_SQL.update({"condition": CONDITION, "drug": DRUG, "measurement": MEASUREMENT})

@@ -167,3 +167,57 @@ QUERIES.update({
     "unit_mapping": q_unit_mapping,
     "wide_relationship": q_wide_relationship,
 })
+
+
+# -- clinical event tables ---------------------------------------------------------
+
+from omoplate.plans import condition_occurrence, drug_exposure, measurement  # noqa: E402
+
+CONDITION_PARAMS = {"column_map": {"dx": {"source_value": "condition_source_value"}},
+                    "vocabulary_config": {"dx": TARGET_VOCAB},
+                    "fallback_vocabs": FALLBACK_VOCABS}
+DRUG_PARAMS = {"column_map": {"rx": {"source_value": "drug_source_value"}},
+               "vocabulary_config": {"rx": TARGET_VOCAB},
+               "unmapped_drug": {"red plate": 99, "C8": 12}}
+MEASUREMENT_PARAMS = {
+    "column_map": {"values": {"source_value": "measurement_source_value"},
+                   "tests": {"source_value": "measurement_source_value"}},
+    "vocabulary_config": {"values": TARGET_VOCAB, "tests": TARGET_VOCAB},
+    "value_map": {"values": "numeric", "tests": "concept"},
+    "unmapped_measurement": {"hot ring": 198},
+    "unmapped_unit": {"u3": 8003},
+}
+
+
+def _measurement_files(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    rec = td.clinical_records(spark, sf)
+    part = td.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    values = rec.filter(F.col("l_linenumber") <= 4).withColumn("value_source_value",
+                                                              F.col("l_quantity").cast("string"))
+    tests = (rec.filter(F.col("l_linenumber") > 4).join(part, F.col("l_partkey") == part.p_partkey)
+             .withColumns({"value_source_value": F.col("p_name"), "value_vocabulary_id": F.col("p_brand")})
+             .drop("p_partkey", "p_name", "p_brand"))
+    drop = ["l_linenumber", "l_quantity", "l_partkey"]
+    return {"values": values.drop(*drop), "tests": tests.drop(*drop)}
+
+
+def q_condition(spark: SparkSession, sf: str) -> DataFrame:
+    files = {"dx": td.clinical_records(spark, sf).drop("l_linenumber", "l_quantity", "l_partkey")}
+    out, _ = condition_occurrence.build(files, CONDITION_PARAMS, td.concept(spark, sf),
+                                        td.concept_relationship(spark, sf), td.order_visits(spark, sf))
+    return out
+
+
+def q_drug(spark: SparkSession, sf: str) -> DataFrame:
+    files = {"rx": td.clinical_records(spark, sf).drop("l_linenumber", "l_quantity", "l_partkey")}
+    return drug_exposure.build(files, DRUG_PARAMS, td.concept(spark, sf), td.concept_relationship(spark, sf),
+                               td.order_visits(spark, sf))
+
+
+def q_measurement(spark: SparkSession, sf: str) -> DataFrame:
+    concept = td.concept(spark, sf).unionByName(td.unit_concept(spark, sf))
+    return measurement.build(_measurement_files(spark, sf), MEASUREMENT_PARAMS, concept,
+                             td.concept_relationship(spark, sf), td.unit_table(spark, sf), td.order_visits(spark, sf))
+
+
+QUERIES.update({"condition": q_condition, "drug": q_drug, "measurement": q_measurement})

@@ -132,3 +132,33 @@ def unit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("p_name").alias("NombreConvCLC"),
                     F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("u"), k))
                      .otherwise(F.concat(F.lit("nation_"), k)).alias("UnidadConv"))
+
+
+def clinical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coded, dated records of a person: ``mapping_data`` plus the order's
+    customer as person and the shipment as the record's interval."""
+    rec = mapping_data(spark, sf_dir)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_shipdate", "l_quantity")
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    full = rec.join(li, keys).join(od, F.col("l_orderkey") == F.col("o_orderkey"))
+    return full.select(
+        F.col("o_custkey").cast("long").alias("person_id"),
+        F.col("l_shipdate").alias("start_date"),
+        F.expr("timestampadd(DAY, CAST(l_quantity AS BIGINT) % 30, l_shipdate)").alias("end_date"),
+        F.lit(32817).cast("long").alias("type_concept"),
+        "vocabulary_id", "source_value", "l_linenumber", "l_quantity", "l_partkey",
+    )
+
+
+def order_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VISIT_OCCURRENCE-shaped: an order is a visit of its customer lasting
+    ``orderkey mod 20`` days."""
+    od = table(spark, sf_dir, "orders")
+    return od.select(
+        F.col("o_orderkey").cast("long").alias("visit_occurrence_id"),
+        F.col("o_custkey").cast("long").alias("person_id"),
+        F.col("o_orderdate").alias("visit_start_datetime"),
+        F.expr("timestampadd(DAY, o_orderkey % 20, o_orderdate)").alias("visit_end_datetime"),
+    )
