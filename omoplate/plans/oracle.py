@@ -392,3 +392,74 @@ SELECT measurement_id, CAST(person_id AS BIGINT) AS person_id, measurement_conce
 FROM lk_out"""
 
 ORACLE_SQL.update({"condition": CONDITION, "drug": DRUG, "measurement": MEASUREMENT})
+
+
+# -- dimensions -------------------------------------------------------------------
+
+LOCATION_ROWS = """SELECT DISTINCT CAST(n.n_nationkey + 100 AS BIGINT) AS location_id, '' AS address_1, '' AS address_2,
+    n.n_name AS city, r.r_name AS state, CAST(n.n_nationkey AS VARCHAR) AS zip, r.r_name AS county,
+    n.n_name AS location_source_value, CAST(4330442 AS BIGINT) AS country_concept_id,
+    'ES' AS country_source_value, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+LOCATION = LOCATION_ROWS
+
+PERSON = f"""WITH c AS (SELECT *, TIMESTAMP '1940-01-01' + to_days(CAST((c_custkey * 37) % 25000 AS INTEGER)) AS b
+              FROM customer),
+loc AS (SELECT zip, MAX(location_id) AS location_id FROM ({LOCATION_ROWS}) x GROUP BY zip)
+SELECT CAST(c.c_custkey AS BIGINT) AS person_id,
+  CAST(CASE WHEN c.c_custkey % 2 = 0 THEN 8532 ELSE 8507 END AS BIGINT) AS gender_concept_id,
+  CAST(year(c.b) AS BIGINT) AS year_of_birth, CAST(month(c.b) AS BIGINT) AS month_of_birth,
+  CAST(day(c.b) AS BIGINT) AS day_of_birth, c.b AS birth_datetime,
+  CAST(0 AS BIGINT) AS race_concept_id, CAST(0 AS BIGINT) AS ethnicity_concept_id,
+  CAST(loc.location_id AS BIGINT) AS location_id, CAST(NULL AS BIGINT) AS provider_id,
+  CAST(NULL AS BIGINT) AS care_site_id, CAST(NULL AS VARCHAR) AS person_source_value,
+  CASE WHEN c.c_custkey % 2 = 0 THEN 'Mujer' ELSE 'Hombre' END AS gender_source_value,
+  CAST(NULL AS BIGINT) AS gender_source_concept_id, CAST(NULL AS VARCHAR) AS race_source_value,
+  CAST(NULL AS BIGINT) AS race_source_concept_id, CAST(NULL AS VARCHAR) AS ethnicity_source_value,
+  CAST(NULL AS BIGINT) AS ethnicity_source_concept_id
+FROM c LEFT JOIN loc ON CAST(c.c_nationkey AS VARCHAR) = loc.zip"""
+
+PROVIDER = """WITH s AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS provider_source_value, s_name AS provider_name,
+        'spec_' || CAST(s_nationkey % 7 AS VARCHAR) AS specialty_source_value FROM supplier),
+m AS (SELECT *, CASE specialty_source_value WHEN 'spec_0' THEN 38004451 WHEN 'spec_1' THEN 38004477
+        WHEN 'spec_2' THEN 38003902 WHEN 'spec_3' THEN 38004455 WHEN 'spec_5' THEN 38004446
+        WHEN 'spec_6' THEN 0 END AS specialty_concept_id FROM s)
+SELECT CAST(row_number() OVER (ORDER BY provider_source_value ASC NULLS LAST, provider_name ASC NULLS LAST,
+         specialty_source_value ASC NULLS LAST) - 1 AS BIGINT) AS provider_id,
+  provider_name, CAST(NULL AS VARCHAR) AS npi, CAST(NULL AS VARCHAR) AS dea,
+  CAST(specialty_concept_id AS BIGINT) AS specialty_concept_id, CAST(NULL AS BIGINT) AS care_site_id,
+  CAST(NULL AS BIGINT) AS year_of_birth, CAST(NULL AS BIGINT) AS gender_concept_id, provider_source_value,
+  specialty_source_value, CAST(NULL AS BIGINT) AS specialty_source_concept_id,
+  CAST(NULL AS VARCHAR) AS gender_source_value, CAST(NULL AS BIGINT) AS gender_source_concept_id
+FROM m"""
+
+DEATH = """SELECT CAST(c.c_custkey AS BIGINT) AS person_id, CAST(d.dd AS DATE) AS death_date,
+  CAST(NULL AS TIMESTAMP) AS death_datetime, CAST(32817 AS BIGINT) AS death_type_concept_id,
+  CAST(NULL AS BIGINT) AS cause_concept_id, CAST(NULL AS VARCHAR) AS cause_source_value,
+  CAST(NULL AS BIGINT) AS cause_source_concept_id
+FROM customer c JOIN (SELECT o_custkey, MAX(o_orderdate) AS dd FROM orders WHERE o_orderstatus = 'F'
+                      GROUP BY 1) d ON c.c_custkey = d.o_custkey"""
+
+COHORT = """SELECT CAST(1 AS BIGINT) AS cohort_definition_id, CAST(c_custkey AS BIGINT) AS subject_id,
+    DATE '2017-01-01' AS cohort_start_date, DATE '2023-12-01' AS cohort_end_date
+  FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') a
+UNION ALL
+SELECT CAST(2 AS BIGINT), CAST(c_custkey AS BIGINT), DATE '2018-01-01', DATE '2023-12-01'
+  FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') b"""
+
+CDM_SOURCE = """SELECT 'omoplate' AS cdm_source_name, 'omoplate' AS cdm_source_abbreviation, 'FPS' AS cdm_holder,
+  'OMOP instance built from the benchmark tables' AS source_description,
+  CAST(NULL AS VARCHAR) AS source_documentation_reference, 'v1.0' AS cdm_etl_reference,
+  CAST(MAX(o_orderdate) AS DATE) AS source_release_date, DATE '2025-01-21' AS cdm_release_date,
+  '5.4' AS cdm_version, CAST(756265 AS BIGINT) AS cdm_version_concept_id, 'v20240830' AS vocabulary_version
+FROM orders"""
+
+STANDARDISE = """SELECT CAST(o_custkey AS BIGINT) AS person_id, o_orderdate AS start_date,
+  o_orderdate + to_days(CAST(o_orderkey % 20 AS INTEGER)) AS end_date, CAST(32817 AS BIGINT) AS type_concept,
+  'AN' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS person_source_value,
+  o_orderkey, o_orderstatus, o_totalprice
+FROM orders"""
+
+ORACLE_SQL.update({"location": LOCATION, "person": PERSON, "provider": PROVIDER, "death": DEATH,
+                   "cohort": COHORT, "cdm_source": CDM_SOURCE, "standardise": STANDARDISE})

@@ -221,3 +221,78 @@ def q_measurement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES.update({"condition": q_condition, "drug": q_drug, "measurement": q_measurement})
+
+
+# -- dimensions -------------------------------------------------------------------
+
+from omoplate.plans import dimensions as dims  # noqa: E402
+
+LOCATION_PARAMS = {"column_name_map": {"nations": {"loc_id": "location_id"}},
+                   "constant_values": {"nations": {"country_concept_id": 4330442, "country_source_value": "ES"}}}
+PERSON_PARAMS = {
+    "column_name_map": {"sociodemo": {"desc_sexo": "gender_source_value"}},
+    "column_values_map": {"sociodemo": {"gender_source_value": {"Mujer": 8532, "Hombre": 8507}}},
+    "constant_values": {"sociodemo": {"race_concept_id": 0, "ethnicity_concept_id": 0}},
+    "source_to_location": {"sociodemo": {"c_nationkey": "zip"}},
+}
+PROVIDER_PARAMS = {
+    "column_name_map": {"suppliers": {"s_name": "provider_name", "spec": "specialty_source_value",
+                                      "sid": "provider_source_value"}},
+    "column_values_map": {"suppliers": {"specialty_source_value": {
+        "spec_0": 38004451, "spec_1": 38004477, "spec_2": 38003902, "spec_3": 38004455}}},
+    "unmapped_specialty": {"spec_5": 38004446, "spec_6": 0},
+}
+COHORT_PARAMS = {"cohorts": {
+    "building": {"cohort_definition_id": 1, "cohort_definition_name": "Building segment",
+                 "subject_concept_id": 1147314, "definition_type_concept_id": 32882,
+                 "cohort_start_date": "2017-01-01", "cohort_end_date": "2023-12-01"},
+    "machinery": {"cohort_definition_id": 2, "cohort_definition_name": "Machinery segment",
+                  "subject_concept_id": 1147314, "definition_type_concept_id": 32882,
+                  "cohort_start_date": "2018-01-01", "cohort_end_date": "2023-12-01"},
+    "no_file": {"cohort_definition_id": 3, "cohort_definition_name": "Skipped",
+                "subject_concept_id": 1147314, "definition_type_concept_id": 32882,
+                "cohort_start_date": "2018-01-01", "cohort_end_date": "2023-12-01"},
+}}
+CDM_SOURCE_FIELDS = {"cdm_source_name": "omoplate", "cdm_source_abbreviation": "omoplate", "cdm_holder": "FPS",
+                     "source_description": "OMOP instance built from the benchmark tables",
+                     "cdm_etl_reference": "v1.0", "cdm_release_date": "2025-01-21", "cdm_version": "5.4",
+                     "cdm_version_concept_id": 756265, "vocabulary_version": "v20240830"}
+STANDARDISE_PARAMS = {"person_columns": {"orders": "NUHSA"}, "date_columns": {"orders": ["fec_fin", "fec_ini"]},
+                      "type_concept_mapping": {"orders": 32817}}
+
+
+def q_location(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.location({"nations": td.nations(spark, sf)}, LOCATION_PARAMS)
+
+
+def q_person(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.person({"sociodemo": td.sociodemo(spark, sf)}, PERSON_PARAMS, q_location(spark, sf))
+
+
+def q_provider(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.provider({"suppliers": td.suppliers(spark, sf)}, PROVIDER_PARAMS)
+
+
+def q_death(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.death({"deaths": td.deaths(spark, sf)}, {})
+
+
+def q_cohort(spark: SparkSession, sf: str) -> DataFrame:
+    people = td.sociodemo(spark, sf)
+    files = {"building": people.filter(F.col("c_mktsegment") == "BUILDING"),
+             "machinery": people.filter(F.col("c_mktsegment") == "MACHINERY"), "no_file": None}
+    cohort, _ = dims.cohort(spark, files, COHORT_PARAMS)
+    return cohort
+
+
+def q_cdm_source(spark: SparkSession, sf: str) -> DataFrame:
+    latest = td.table(spark, sf, "orders").agg(F.max("o_orderdate"))
+    return dims.cdm_source(spark, CDM_SOURCE_FIELDS, latest)
+
+
+def q_standardise(spark: SparkSession, sf: str) -> DataFrame:
+    return dims.standardise_files({"orders": td.raw_orders(spark, sf)}, STANDARDISE_PARAMS)["orders"]
+
+
+QUERIES.update({"location": q_location, "person": q_person, "provider": q_provider, "death": q_death,
+                "cohort": q_cohort, "cdm_source": q_cdm_source, "standardise": q_standardise})

@@ -162,3 +162,54 @@ def order_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("visit_start_datetime"),
         F.expr("timestampadd(DAY, o_orderkey % 20, o_orderdate)").alias("visit_end_datetime"),
     )
+
+
+# -- dimension-shaped inputs ---------------------------------------------------------
+
+def sociodemo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A person file from ``customer``: birth date, sex label, nation."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("long").alias("person_id"),
+        F.expr("timestampadd(DAY, (c_custkey * 37) % 25000, TIMESTAMP_NTZ'1940-01-01 00:00:00')").alias("start_date"),
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("Mujer")).otherwise(F.lit("Hombre")).alias("desc_sexo"),
+        "c_nationkey", "c_mktsegment",
+    )
+
+
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey)
+    return j.select((F.col("n_nationkey") + 100).cast("long").alias("loc_id"), F.col("n_name").alias("city"),
+                    F.col("r_name").alias("state"), F.col("n_nationkey").cast("string").alias("zip"),
+                    F.col("r_name").alias("county"), F.col("n_name").alias("location_source_value"))
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(F.col("s_suppkey").cast("string").alias("sid"), "s_name",
+                    F.concat(F.lit("spec_"), (F.col("s_nationkey") % 7).cast("string")).alias("spec"),
+                    "s_acctbal")
+
+
+def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer; the death date is the last date of its
+    finished orders, null when it has none."""
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    last = (table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+            .groupBy("o_custkey").agg(F.max("o_orderdate").alias("death_date")))
+    return c.join(last, c.c_custkey == last.o_custkey, "left").select(
+        F.col("c_custkey").cast("long").alias("person_id"), "death_date",
+        F.lit(32817).cast("long").alias("type_concept"))
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw extract: health-card style person id, two date columns given
+    end-first, and other fields."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.concat(F.lit("AN"), F.lpad(F.col("o_custkey").cast("string"), 10, "0")).alias("NUHSA"),
+        F.expr("timestampadd(DAY, o_orderkey % 20, o_orderdate)").alias("fec_fin"),
+        F.col("o_orderdate").alias("fec_ini"),
+        "o_orderkey", "o_orderstatus", "o_totalprice",
+    )
