@@ -463,3 +463,74 @@ FROM orders"""
 
 ORACLE_SQL.update({"location": LOCATION, "person": PERSON, "provider": PROVIDER, "death": DEATH,
                    "cohort": COHORT, "cdm_source": CDM_SOURCE, "standardise": STANDARDISE})
+
+
+# -- ingest, text, integrity checks ------------------------------------------------
+
+CSV_INGEST = """SELECT 'AN' || lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS NUHSA,
+  CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS fec_pedido, o_orderpriority
+FROM orders"""
+
+ICD_EXPAND = f"""WITH d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+        'P' || CAST(l_partkey % 700 AS VARCHAR) AS pathology_code FROM ({DATA}) x),
+cw AS (SELECT 'P' || CAST(p_partkey % 500 AS VARCHAR) AS k,
+        upper(substr(p_name, 1, 1)) || CAST(p_size AS VARCHAR) AS icd_code,
+        CASE WHEN p_size % 2 = 0 THEN 'ICD10CM' ELSE 'ICD9CM' END AS icd_vocabulary_id FROM part)
+SELECT d.*, cw.icd_code, cw.icd_vocabulary_id FROM d LEFT JOIN cw ON d.pathology_code = cw.k"""
+
+PK_CHECK = """SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1"""
+
+
+def _fk(table: str, child: str, column: str, parent: str, pcol: str) -> str:
+    return f"""SELECT '{table}' AS "table", '{column}' AS "column", CAST(v AS VARCHAR) AS value, CAST(n AS BIGINT) AS n
+  FROM (SELECT {column} AS v, COUNT(*) AS n FROM {child} WHERE {column} IS NOT NULL GROUP BY 1) c
+  WHERE v NOT IN (SELECT {pcol} FROM {parent} WHERE {pcol} IS NOT NULL)"""
+
+
+FK_CHECK = " UNION ALL ".join([
+    _fk("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _fk("lineitem", "lineitem", "l_partkey", "part", "p_partkey"),
+    _fk("lineitem", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _fk("orders", "orders", "o_custkey", "customer", "c_custkey"),
+    _fk("events", "events", "user_id", "customer", "c_custkey"),
+    _fk("PERSON", f"({PERSON}) p", "location_id", f"({LOCATION}) l", "location_id"),
+])
+
+NULL_CHECK = """UNPIVOT (SELECT COUNT(*) FILTER (WHERE l_orderkey IS NULL) AS l_orderkey,
+    COUNT(*) FILTER (WHERE l_partkey IS NULL) AS l_partkey, COUNT(*) FILTER (WHERE l_suppkey IS NULL) AS l_suppkey,
+    COUNT(*) FILTER (WHERE l_linenumber IS NULL) AS l_linenumber,
+    COUNT(*) FILTER (WHERE l_quantity IS NULL) AS l_quantity,
+    COUNT(*) FILTER (WHERE l_extendedprice IS NULL) AS l_extendedprice,
+    COUNT(*) FILTER (WHERE l_discount IS NULL) AS l_discount, COUNT(*) FILTER (WHERE l_tax IS NULL) AS l_tax,
+    COUNT(*) FILTER (WHERE l_returnflag IS NULL) AS l_returnflag,
+    COUNT(*) FILTER (WHERE l_linestatus IS NULL) AS l_linestatus,
+    COUNT(*) FILTER (WHERE l_shipdate IS NULL) AS l_shipdate FROM lineitem)
+  ON COLUMNS(*) INTO NAME "column" VALUE n_null"""
+
+LENGTH_CHECK = """SELECT 'p_name' AS "column", CAST(10 AS BIGINT) AS max_length,
+    COUNT(*) FILTER (WHERE length(p_name) > 10) AS n_too_long FROM part
+  UNION ALL SELECT 'p_type', 6, COUNT(*) FILTER (WHERE length(p_type) > 6) FROM part
+  UNION ALL SELECT 'p_brand', 7, COUNT(*) FILTER (WHERE length(p_brand) > 7) FROM part"""
+
+DATE_RULES = f"""WITH ev AS (SELECT r.person_id, r.start_date, r.end_date, p.birth_datetime AS birth,
+        CAST(d.death_date AS TIMESTAMP) AS death
+      FROM ({REC}) r LEFT JOIN ({PERSON}) p ON r.person_id = p.person_id
+      LEFT JOIN (SELECT person_id, MIN(death_date) AS death_date FROM ({DEATH}) x GROUP BY 1) d
+        ON r.person_id = d.person_id),
+a AS (SELECT COUNT(*) FILTER (WHERE start_date IS NULL) AS start_missing,
+        COUNT(*) FILTER (WHERE end_date < start_date) AS end_before_start,
+        COUNT(*) FILTER (WHERE start_date < birth) AS start_before_birth,
+        COUNT(*) FILTER (WHERE start_date > death) AS start_after_death,
+        COUNT(*) FILTER (WHERE end_date > death + INTERVAL 60 DAY) AS end_after_death_grace FROM ev)
+UNPIVOT a ON COLUMNS(*) INTO NAME "rule" VALUE n_violations"""
+
+KEY_CHECK = f"""SELECT COUNT(*) AS n_rows, COUNT(provider_id) AS n_present, COUNT(DISTINCT provider_id) AS n_distinct,
+  MIN(provider_id) AS min_key, MAX(provider_id) AS max_key,
+  COUNT(provider_id) = COUNT(*) AND COUNT(DISTINCT provider_id) = COUNT(*)
+    AND (COUNT(*) = 0 OR (MIN(provider_id) = 0 AND MAX(provider_id) = COUNT(*) - 1)) AS is_dense
+FROM ({PROVIDER}) p"""
+
+ORACLE_SQL.update({"csv_ingest": CSV_INGEST, "icd_expand": ICD_EXPAND, "pk_check": PK_CHECK,
+                   "fk_check": FK_CHECK, "null_check": NULL_CHECK, "length_check": LENGTH_CHECK,
+                   "date_rules": DATE_RULES, "key_check": KEY_CHECK})

@@ -296,3 +296,81 @@ def q_standardise(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES.update({"location": q_location, "person": q_person, "provider": q_provider, "death": q_death,
                 "cohort": q_cohort, "cdm_source": q_cdm_source, "standardise": q_standardise})
+
+
+# -- ingest, text, integrity checks ------------------------------------------------
+
+import uuid  # noqa: E402
+
+from omoplate.functions.text import normalize_text  # noqa: E402
+from omoplate.operators import quality as qa  # noqa: E402
+from omoplate.session import ensure_checkpoint_dir  # noqa: E402
+from omoplate.sources import delimited as dl  # noqa: E402
+
+READ_CANDIDATES = {"sep": [",", "|", ";"], "encoding": ["utf-8", "latin1"]}
+DATE_FORMATS = ["%Y-%m-%d", "%d/%m/%Y"]
+
+
+def q_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as a raw ';'-separated extract (in the shared
+    checkpoint folder), then probed and ingested: S2 -> S3 -> S4 -> S1."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    o = td.table(spark, sf, "orders")
+    raw = o.select(F.concat(F.lit("AN"), F.lpad(F.col("o_custkey").cast("string"), 10, "0")).alias("NUHSA"),
+                   F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderstatus",
+                   F.date_format("o_orderdate", "dd/MM/yyyy").alias("fec_pedido"), "o_orderpriority")
+    raw.write.option("header", True).option("sep", ";").csv(folder)
+    opts = dl.probe_read_options(spark, folder, READ_CANDIDATES, checks=[dl.check_id_column])
+    head = dl.read_delimited(spark, folder, opts)
+    chosen, _ = dl.probe_date_formats(head, dl.find_date_columns(head.columns), DATE_FORMATS)
+    return dl.apply_modifications(spark, {"orders": folder}, {"orders": {"read": opts, "dates": chosen}})["orders"]
+
+
+def q_normalize_text(spark: SparkSession, sf: str) -> DataFrame:
+    docs = td.table(spark, sf, "documents")
+    return docs.select("doc_id", normalize_text("text").alias("text_normalized"))
+
+
+def q_icd_expand(spark: SparkSession, sf: str) -> DataFrame:
+    df = td.mapping_data(spark, sf).select(*MAP_KEYS, F.concat(F.lit("P"), (F.col("l_partkey") % 700)
+                                                                 .cast("string")).alias("pathology_code"))
+    return vo.icd_expand(df, "pathology_code", td.icd_crosswalk(spark, sf))
+
+
+def q_pk_check(spark: SparkSession, sf: str) -> DataFrame:
+    return qa.pk_violations(td.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_fk_check(spark: SparkSession, sf: str) -> DataFrame:
+    t = lambda n: td.table(spark, sf, n)
+    checks = [qa.fk_violations(t("lineitem"), "l_orderkey", t("orders"), "o_orderkey", "lineitem"),
+              qa.fk_violations(t("lineitem"), "l_partkey", t("part"), "p_partkey", "lineitem"),
+              qa.fk_violations(t("lineitem"), "l_suppkey", t("supplier"), "s_suppkey", "lineitem"),
+              qa.fk_violations(t("orders"), "o_custkey", t("customer"), "c_custkey", "orders"),
+              qa.fk_violations(t("events"), "user_id", t("customer"), "c_custkey", "events"),
+              qa.fk_violations(q_person(spark, sf), "location_id", q_location(spark, sf), "location_id", "PERSON")]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+def q_null_check(spark: SparkSession, sf: str) -> DataFrame:
+    return qa.null_counts(td.table(spark, sf, "lineitem"))
+
+
+def q_length_check(spark: SparkSession, sf: str) -> DataFrame:
+    return qa.length_violations(td.table(spark, sf, "part"), {"p_name": 10, "p_type": 6, "p_brand": 7})
+
+
+def q_date_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return qa.date_rules(td.clinical_records(spark, sf), q_person(spark, sf), q_death(spark, sf))
+
+
+def q_key_check(spark: SparkSession, sf: str) -> DataFrame:
+    return qa.key_check(q_provider(spark, sf), "provider_id")
+
+
+QUERIES.update({"csv_ingest": q_csv_ingest, "normalize_text": q_normalize_text, "icd_expand": q_icd_expand,
+                "pk_check": q_pk_check, "fk_check": q_fk_check, "null_check": q_null_check,
+                "length_check": q_length_check, "date_rules": q_date_rules, "key_check": q_key_check})

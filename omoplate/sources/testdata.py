@@ -213,3 +213,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("fec_ini"),
         "o_orderkey", "o_orderstatus", "o_totalprice",
     )
+
+
+def icd_crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local pathology code -> ICD code crosswalk from ``part``."""
+    p = table(spark, sf_dir, "part")
+    return p.select(
+        F.concat(F.lit("P"), (F.col("p_partkey") % 500).cast("string")).alias("CODIGO_PATOLOGIA"),
+        F.concat(F.upper(F.substring("p_name", 1, 1)), F.col("p_size").cast("string")).alias("COD_CIE_NORMALIZADO"),
+        F.when(F.col("p_size") % 2 == 0, F.lit("CIE10ES")).otherwise(F.lit("CIE9MC")).alias("TIPO_CIE"),
+    )
