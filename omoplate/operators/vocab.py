@@ -256,13 +256,17 @@ def fallback_mapping(df: DataFrame, concept: DataFrame, concept_relationship: Da
 # -- J8 / J9 ------------------------------------------------------------------
 
 def update_concept_mappings(df: DataFrame, source_column: str, target_column: str,
-                            new_concept_mappings: Mapping) -> DataFrame:
-    """Literal overrides, applied only to unmapped rows."""
+                            new_concept_mappings: Mapping, check_empty: bool = True) -> DataFrame:
+    """Literal overrides, applied only to unmapped rows.
+
+    An empty input raises ``ValueError`` when ``check_empty`` (one probe
+    job); pipelines pass False, where an empty table simply stays empty.
+    """
     if source_column not in df.columns:
         raise KeyError(f"Source column '{source_column}' not found in DataFrame")
     if target_column not in df.columns:
         raise KeyError(f"Target column '{target_column}' not found in DataFrame")
-    if df.limit(1).count() == 0:
+    if check_empty and df.limit(1).count() == 0:
         raise ValueError("DataFrame cannot be empty")
     if not new_concept_mappings:
         return df
@@ -301,7 +305,8 @@ def check_unmapped_values(df: DataFrame, params: Mapping, fields: Sequence[str],
             continue
         if variant in ("measurement", "drug") and concept is not None:
             check_overrides_standard(concept, overrides, allow_zero=variant == "measurement")
-        df = update_concept_mappings(df, f"{field}_source_value", f"{field}_concept_id", overrides)
+        df = update_concept_mappings(df, f"{field}_source_value", f"{field}_concept_id", overrides,
+                                     check_empty=False)
     return df
 
 

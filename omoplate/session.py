@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a table in the shared checkpoint folder and
+    continue from it.
+
+    One job computes the rows once and writes them (a ``checkpoint()``
+    would compute them twice unless also persisted); the read-back plan
+    has no lineage to replay if an executor is lost. Never a local folder.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(folder)
+    return spark.read.parquet(folder)

@@ -135,20 +135,24 @@ def unit_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clinical_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coded, dated records of a person: ``mapping_data`` plus the order's
-    customer as person and the shipment as the record's interval."""
-    rec = mapping_data(spark, sf_dir)
+    """Coded, dated records of a person: the ``mapping_data`` coding, the
+    order's customer as person and the shipment as the record's interval
+    (one scan of ``lineitem`` joined to ``part`` and ``orders``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                  "l_shipdate", "l_quantity")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    full = rec.join(li, keys).join(od, F.col("l_orderkey") == F.col("o_orderkey"))
-    return full.select(
+    j = li.join(part, li.l_partkey == part.p_partkey).join(od, li.l_orderkey == od.o_orderkey)
+    other_brand = F.concat(F.lit("Brand#"), ((F.col("l_partkey") + F.col("l_suppkey")) % 25 + 1).cast("string"))
+    return j.select(
         F.col("o_custkey").cast("long").alias("person_id"),
         F.col("l_shipdate").alias("start_date"),
         F.expr("timestampadd(DAY, CAST(l_quantity AS BIGINT) % 30, l_shipdate)").alias("end_date"),
         F.lit(32817).cast("long").alias("type_concept"),
-        "vocabulary_id", "source_value", "l_linenumber", "l_quantity", "l_partkey",
+        F.when(F.col("l_linenumber") <= 5, F.col("p_brand")).otherwise(other_brand).alias("vocabulary_id"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.col("p_name"))
+         .otherwise(F.concat(F.lit("C"), F.col("l_partkey").cast("string"))).alias("source_value"),
+        "l_linenumber", "l_quantity", "l_partkey",
     )
 
 
