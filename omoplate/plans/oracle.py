@@ -534,3 +534,45 @@ FROM ({PROVIDER}) p"""
 ORACLE_SQL.update({"csv_ingest": CSV_INGEST, "icd_expand": ICD_EXPAND, "pk_check": PK_CHECK,
                    "fk_check": FK_CHECK, "null_check": NULL_CHECK, "length_check": LENGTH_CHECK,
                    "date_rules": DATE_RULES, "key_check": KEY_CHECK})
+
+
+def _pk(table: str, src: str, key: str) -> str:
+    return f"""SELECT 'pk' AS "check", '{table}' AS "table", '{key}' AS "column", CAST({key} AS VARCHAR) AS value,
+    CAST(COUNT(*) AS BIGINT) AS n FROM {src} GROUP BY {key} HAVING COUNT(*) > 1"""
+
+
+def _fk2(table: str, child: str, column: str, parent: str, pcol: str) -> str:
+    return f"""SELECT 'fk' AS "check", "table", "column", value, n FROM ({_fk(table, child, column, parent, pcol)}) x"""
+
+
+_TABLES = {"PERSON": f"({PERSON}) t", "LOCATION": f"({LOCATION}) t", "PROVIDER": f"({PROVIDER}) t",
+           "DEATH": f"({DEATH}) t", "OBSERVATION_PERIOD": f"({OBSERVATION_PERIOD}) t",
+           "CONCEPT": f"({CONCEPT}) t"}
+_FKS = [("PERSON", "gender_concept_id", "CONCEPT", "concept_id"),
+        ("PERSON", "race_concept_id", "CONCEPT", "concept_id"),
+        ("PERSON", "ethnicity_concept_id", "CONCEPT", "concept_id"),
+        ("PERSON", "location_id", "LOCATION", "location_id"),
+        ("PERSON", "provider_id", "PROVIDER", "provider_id"),
+        ("PERSON", "gender_source_concept_id", "CONCEPT", "concept_id"),
+        ("PERSON", "race_source_concept_id", "CONCEPT", "concept_id"),
+        ("PERSON", "ethnicity_source_concept_id", "CONCEPT", "concept_id"),
+        ("OBSERVATION_PERIOD", "person_id", "PERSON", "person_id"),
+        ("OBSERVATION_PERIOD", "period_type_concept_id", "CONCEPT", "concept_id"),
+        ("DEATH", "person_id", "PERSON", "person_id"),
+        ("DEATH", "death_type_concept_id", "CONCEPT", "concept_id"),
+        ("DEATH", "cause_concept_id", "CONCEPT", "concept_id"),
+        ("DEATH", "cause_source_concept_id", "CONCEPT", "concept_id"),
+        ("LOCATION", "country_concept_id", "CONCEPT", "concept_id"),
+        ("PROVIDER", "specialty_concept_id", "CONCEPT", "concept_id"),
+        ("PROVIDER", "gender_concept_id", "CONCEPT", "concept_id"),
+        ("PROVIDER", "specialty_source_concept_id", "CONCEPT", "concept_id"),
+        ("PROVIDER", "gender_source_concept_id", "CONCEPT", "concept_id")]
+CDM_CONSTRAINTS = "WITH RECURSIVE dummy AS (SELECT 1) " + " UNION ALL ".join(
+    [_pk("PERSON", _TABLES["PERSON"], "person_id"),
+     _pk("OBSERVATION_PERIOD", _TABLES["OBSERVATION_PERIOD"], "observation_period_id"),
+     _pk("LOCATION", _TABLES["LOCATION"], "location_id"),
+     _pk("PROVIDER", _TABLES["PROVIDER"], "provider_id"),
+     _pk("CONCEPT", _TABLES["CONCEPT"], "concept_id")]
+    + [_fk2(ct, _TABLES[ct], cc, _TABLES[pt], pc) for ct, cc, pt, pc in _FKS])
+
+ORACLE_SQL["cdm_constraints"] = CDM_CONSTRAINTS

@@ -374,3 +374,14 @@ def q_key_check(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES.update({"csv_ingest": q_csv_ingest, "normalize_text": q_normalize_text, "icd_expand": q_icd_expand,
                 "pk_check": q_pk_check, "fk_check": q_fk_check, "null_check": q_null_check,
                 "length_check": q_length_check, "date_rules": q_date_rules, "key_check": q_key_check})
+
+
+def q_cdm_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    """Q1/Q2 over the dimension tables built here and a CONCEPT table."""
+    tables = {"PERSON": q_person(spark, sf), "LOCATION": q_location(spark, sf),
+              "PROVIDER": q_provider(spark, sf), "DEATH": q_death(spark, sf),
+              "OBSERVATION_PERIOD": q_observation_period(spark, sf), "CONCEPT": td.concept(spark, sf)}
+    return qa.validate_cdm(tables)
+
+
+QUERIES["cdm_constraints"] = q_cdm_constraints
