@@ -114,10 +114,10 @@ def map_source_concept_id(df: DataFrame, concept_relationship: DataFrame,
                           order_column: str | None = None) -> DataFrame:
     """Follow the ``Maps to`` edge; no edge (or no source concept) -> 0."""
     base = df.drop(concept_id_column) if concept_id_column in df.columns and concept_id_column != source_column else df
-    out = lookup_join(base, maps_to_lookup(concept_relationship, order_column),
-                      [(F.col(source_column).cast("long"), "_c1")])
+    source = F.col(source_column).try_cast("long")  # "" or other non-ids count as unmapped
+    out = lookup_join(base, maps_to_lookup(concept_relationship, order_column), [(source, "_c1")])
     return out.withColumns({
-        source_column: F.col(source_column).cast("long"),
+        source_column: source,
         concept_id_column: F.coalesce(F.col("_c2"), F.lit(0)).cast("long"),
     }).drop("_c2")
 
