@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -107,22 +108,28 @@ def _order_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
 
 
+# Rows per range partition when numbering (a partition is sorted in one task).
+DENSE_KEY_PARTITION_ROWS = 4_000_000
+
+
 def dense_key(df: DataFrame, name: str, order: Sequence[Column | str], num_partitions: int | None = None,
               first: int = 0) -> DataFrame:
     """A dense key ``first .. first+n-1`` following ``order``.
 
     No single-partition window: the rows are range-partitioned on the order,
     numbered inside each partition, and shifted by the row count of all
-    earlier partitions. The staged rows are checkpointed so the partition
-    numbers cannot change between the count and the numbering (range bounds
-    are sampled), and so a lost executor does not re-number anything.
-    The offset table has one row per partition, a bound we set ourselves,
-    which is why it may be broadcast.
+    earlier partitions. The input is first written to the shared checkpoint
+    folder, so computing the range bounds (a sampling job) does not replay
+    the plan that produced it, and its row count (from file metadata) sizes
+    the partitions; the numbered rows are written too, so the partition
+    numbers cannot change between the count and the numbering and a lost
+    executor does not re-number anything. The offset table has one row per
+    partition, a bound we set ourselves, which is why it may be broadcast.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = cut_lineage(df)
+    n = num_partitions or max(1, math.ceil(base.count() / DENSE_KEY_PARTITION_ROWS))
     cols = _order_cols(order)
-    staged = (df.repartitionByRange(n, *cols)
+    staged = (base.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_okey", F.monotonically_increasing_id()))
     staged = cut_lineage(staged)
