@@ -143,3 +143,23 @@ def test_wide_relationship_and_icd(spark, concept, rel):
     df = spark.createDataFrame([("P1",), ("P2",)], "code string")
     got = sorted((r.code, r.icd_code or "", r.icd_vocabulary_id or "") for r in vo.icd_expand(df, "code", cw).collect())
     assert got == [("P1", "401.9", "ICD9CM"), ("P1", "I10", "ICD10CM"), ("P2", "", "")]
+
+
+def test_update_concept_mappings_reference_variants(spark):
+    df = spark.createDataFrame([("SNOMED", "187033005", 4092846), ("test_is_a", "AA00", 0), ("test_is_a", "AA00", 0),
+                                ("test_no_rel", "AA01", 0)], "vocabulary_id string, source_value string, concept_id long")
+    out = vo.update_concept_mappings(df, "source_value", "concept_id", {"AA00": 999, "AA01": 111})
+    assert sorted(r.concept_id for r in out.collect()) == [111, 999, 999, 4092846]
+    part = vo.update_concept_mappings(df, "source_value", "concept_id", {"X1": 999})
+    assert sorted(r.concept_id for r in part.collect()) == [0, 0, 0, 4092846]
+    mixed = spark.createDataFrame([(1, "A"), (2, None), (3, "0")], "source_value long, concept_id string")
+    out = vo.update_concept_mappings(mixed, "source_value", "concept_id", {2: "B", 3: "C"})
+    assert [r.concept_id for r in out.orderBy("source_value").collect()] == ["A", "B", "C"]
+
+
+def test_map_source_value_by_code_reference(spark):
+    concept = spark.createDataFrame([(2000001178, "Virus de la hepatitis B (Ag c), Ac", "Measurement", "CLC", None,
+                                      "CLC00229")], CONCEPT)
+    df = spark.createDataFrame([("CLC", "CLC00229"), ("CLC", "CLC999")], "vocabulary_id string, source_value string")
+    out = vo.map_source_value(df, {"CLC": "concept_code"}, concept)
+    assert {r.source_value: r.source_concept_id for r in out.collect()} == {"CLC00229": 2000001178, "CLC999": None}
