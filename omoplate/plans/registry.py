@@ -7,14 +7,21 @@ whole tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from omoplate.functions.text import normalize_text
 from omoplate.operators import intervals as iv
+from omoplate.operators import quality as qa
 from omoplate.operators import visits as vi
-from omoplate.plans import observation_period, visit_occurrence
+from omoplate.operators import vocab as vo
+from omoplate.plans import condition_occurrence, drug_exposure, measurement, observation_period, visit_occurrence
+from omoplate.plans import dimensions as dims
+from omoplate.session import ensure_checkpoint_dir
+from omoplate.sources import delimited as dl
 from omoplate.sources import testdata as td
 
 N_DAYS = 90
@@ -101,7 +108,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # -- vocabulary -------------------------------------------------------------------
 
-from omoplate.operators import vocab as vo  # noqa: E402
 
 # brands 1-15 map by name, 16-20 by code, 21-25 are not configured
 TARGET_VOCAB = {f"Brand#{i}": ("concept_name" if i <= 15 else "concept_code") for i in range(1, 21)}
@@ -171,7 +177,6 @@ QUERIES.update({
 
 # -- clinical event tables ---------------------------------------------------------
 
-from omoplate.plans import condition_occurrence, drug_exposure, measurement  # noqa: E402
 
 CONDITION_PARAMS = {"column_map": {"dx": {"source_value": "condition_source_value"}},
                     "vocabulary_config": {"dx": TARGET_VOCAB},
@@ -225,7 +230,6 @@ QUERIES.update({"condition": q_condition, "drug": q_drug, "measurement": q_measu
 
 # -- dimensions -------------------------------------------------------------------
 
-from omoplate.plans import dimensions as dims  # noqa: E402
 
 LOCATION_PARAMS = {"column_name_map": {"nations": {"loc_id": "location_id"}},
                    "constant_values": {"nations": {"country_concept_id": 4330442, "country_source_value": "ES"}}}
@@ -300,12 +304,6 @@ QUERIES.update({"location": q_location, "person": q_person, "provider": q_provid
 
 # -- ingest, text, integrity checks ------------------------------------------------
 
-import uuid  # noqa: E402
-
-from omoplate.functions.text import normalize_text  # noqa: E402
-from omoplate.operators import quality as qa  # noqa: E402
-from omoplate.session import ensure_checkpoint_dir  # noqa: E402
-from omoplate.sources import delimited as dl  # noqa: E402
 
 READ_CANDIDATES = {"sep": [",", "|", ";"], "encoding": ["utf-8", "latin1"]}
 DATE_FORMATS = ["%Y-%m-%d", "%d/%m/%Y"]
