@@ -396,11 +396,12 @@ ORACLE_SQL.update({"condition": CONDITION, "drug": DRUG, "measurement": MEASUREM
 
 # -- dimensions -------------------------------------------------------------------
 
-LOCATION_ROWS = """SELECT DISTINCT CAST(n.n_nationkey + 100 AS BIGINT) AS location_id, '' AS address_1, '' AS address_2,
+LOCATION_ROWS = """SELECT DISTINCT CAST(c.c_custkey + 100 AS BIGINT) AS location_id,
+    'Street of ' || c.c_name AS address_1, '' AS address_2,
     n.n_name AS city, r.r_name AS state, CAST(n.n_nationkey AS VARCHAR) AS zip, r.r_name AS county,
-    n.n_name AS location_source_value, CAST(4330442 AS BIGINT) AS country_concept_id,
+    c.c_name AS location_source_value, CAST(4330442 AS BIGINT) AS country_concept_id,
     'ES' AS country_source_value, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey"""
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
 LOCATION = LOCATION_ROWS
 

@@ -231,8 +231,8 @@ QUERIES.update({"condition": q_condition, "drug": q_drug, "measurement": q_measu
 # -- dimensions -------------------------------------------------------------------
 
 
-LOCATION_PARAMS = {"column_name_map": {"nations": {"loc_id": "location_id"}},
-                   "constant_values": {"nations": {"country_concept_id": 4330442, "country_source_value": "ES"}}}
+LOCATION_PARAMS = {"column_name_map": {"addresses": {"loc_id": "location_id"}},
+                   "constant_values": {"addresses": {"country_concept_id": 4330442, "country_source_value": "ES"}}}
 PERSON_PARAMS = {
     "column_name_map": {"sociodemo": {"desc_sexo": "gender_source_value"}},
     "column_values_map": {"sociodemo": {"gender_source_value": {"Mujer": 8532, "Hombre": 8507}}},
@@ -266,7 +266,7 @@ STANDARDISE_PARAMS = {"person_columns": {"orders": "NUHSA"}, "date_columns": {"o
 
 
 def q_location(spark: SparkSession, sf: str) -> DataFrame:
-    return dims.location({"nations": td.nations(spark, sf)}, LOCATION_PARAMS)
+    return dims.location({"addresses": td.locations(spark, sf)}, LOCATION_PARAMS)
 
 
 def q_person(spark: SparkSession, sf: str) -> DataFrame:

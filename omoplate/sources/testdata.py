@@ -181,12 +181,16 @@ def sociodemo(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One address per customer: its nation as city, region as state."""
+    c = table(spark, sf_dir, "customer")
     n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    return j.select((F.col("n_nationkey") + 100).cast("long").alias("loc_id"), F.col("n_name").alias("city"),
-                    F.col("r_name").alias("state"), F.col("n_nationkey").cast("string").alias("zip"),
-                    F.col("r_name").alias("county"), F.col("n_name").alias("location_source_value"))
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return j.select((F.col("c_custkey") + 100).cast("long").alias("loc_id"),
+                    F.concat(F.lit("Street of "), F.col("c_name")).alias("address_1"),
+                    F.col("n_name").alias("city"), F.col("r_name").alias("state"),
+                    F.col("n_nationkey").cast("string").alias("zip"), F.col("r_name").alias("county"),
+                    F.col("c_name").alias("location_source_value"))
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
