@@ -568,7 +568,24 @@ _FKS = [("PERSON", "gender_concept_id", "CONCEPT", "concept_id"),
         ("PROVIDER", "gender_concept_id", "CONCEPT", "concept_id"),
         ("PROVIDER", "specialty_source_concept_id", "CONCEPT", "concept_id"),
         ("PROVIDER", "gender_source_concept_id", "CONCEPT", "concept_id")]
+def _column_checks(table: str, src: str) -> list[str]:
+    from omoplate.schemas import OMOP_SCHEMAS, text_lengths
+
+    sch = OMOP_SCHEMAS[table]
+    parts = [f"""SELECT 'null' AS "check", '{table}' AS "table", '{f.name}' AS "column", CAST(NULL AS VARCHAR) AS value,
+        CAST(COUNT(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS n FROM {src} HAVING n > 0"""
+             for f in sch.fields if not f.nullable]
+    parts += [f"""SELECT 'length' AS "check", '{table}' AS "table", '{c}' AS "column", CAST(NULL AS VARCHAR) AS value,
+        CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {src} HAVING n > 0"""
+              for c, n in text_lengths(table).items()]
+    return parts
+
+
+_CONCEPT_COLS = {"concept_id", "concept_name", "vocabulary_id", "standard_concept"}
 CDM_CONSTRAINTS = "WITH RECURSIVE dummy AS (SELECT 1) " + " UNION ALL ".join(
+    [q for t, src in _TABLES.items() if t != "CONCEPT" for q in _column_checks(t, src)]
+    + [q for q in _column_checks("CONCEPT", _TABLES["CONCEPT"])
+       if any(f"'{c}' AS \"column\"" in q for c in _CONCEPT_COLS)] +
     [_pk("PERSON", _TABLES["PERSON"], "person_id"),
      _pk("OBSERVATION_PERIOD", _TABLES["OBSERVATION_PERIOD"], "observation_period_id"),
      _pk("LOCATION", _TABLES["LOCATION"], "location_id"),

@@ -151,3 +151,80 @@ def schema(name: str) -> T.StructType:
         return OMOP_SCHEMAS[name.upper()]
     except KeyError:
         raise KeyError(f"unknown OMOP table {name!r}") from None
+
+
+# OMOP CDM 5.4 text column limits (varchar lengths) of the
+# registry tables, as "TABLE.column length".
+TEXT_LENGTHS_TEXT = """
+PERSON.person_source_value 50
+PERSON.gender_source_value 50
+PERSON.race_source_value 50
+PERSON.ethnicity_source_value 50
+VISIT_OCCURRENCE.visit_source_value 50
+VISIT_OCCURRENCE.admitted_from_source_value 50
+VISIT_OCCURRENCE.discharged_to_source_value 50
+CONDITION_OCCURRENCE.stop_reason 20
+CONDITION_OCCURRENCE.condition_source_value 50
+CONDITION_OCCURRENCE.condition_status_source_value 50
+DRUG_EXPOSURE.stop_reason 20
+DRUG_EXPOSURE.lot_number 50
+DRUG_EXPOSURE.drug_source_value 50
+DRUG_EXPOSURE.route_source_value 50
+DRUG_EXPOSURE.dose_unit_source_value 50
+MEASUREMENT.measurement_time 10
+MEASUREMENT.measurement_source_value 50
+MEASUREMENT.unit_source_value 50
+MEASUREMENT.value_source_value 50
+DEATH.cause_source_value 50
+PROVIDER.provider_name 255
+PROVIDER.npi 20
+PROVIDER.dea 20
+PROVIDER.provider_source_value 50
+PROVIDER.specialty_source_value 50
+PROVIDER.gender_source_value 50
+LOCATION.address_1 50
+LOCATION.address_2 50
+LOCATION.city 50
+LOCATION.state 2
+LOCATION.zip 9
+LOCATION.county 20
+LOCATION.location_source_value 50
+LOCATION.country_source_value 80
+COHORT_DEFINITION.cohort_definition_name 255
+CDM_SOURCE.cdm_source_name 255
+CDM_SOURCE.cdm_source_abbreviation 25
+CDM_SOURCE.cdm_holder 255
+CDM_SOURCE.source_documentation_reference 255
+CDM_SOURCE.cdm_etl_reference 255
+CDM_SOURCE.cdm_version 10
+CDM_SOURCE.vocabulary_version 20
+CONCEPT.concept_name 255
+CONCEPT.domain_id 20
+CONCEPT.vocabulary_id 20
+CONCEPT.concept_class_id 20
+CONCEPT.standard_concept 1
+CONCEPT.concept_code 50
+CONCEPT.invalid_reason 1
+CONCEPT_RELATIONSHIP.relationship_id 20
+CONCEPT_RELATIONSHIP.invalid_reason 1
+VOCABULARY.vocabulary_id 20
+VOCABULARY.vocabulary_name 255
+VOCABULARY.vocabulary_reference 255
+VOCABULARY.vocabulary_version 255
+SOURCE_TO_CONCEPT_MAP.source_code 50
+SOURCE_TO_CONCEPT_MAP.source_vocabulary_id 20
+SOURCE_TO_CONCEPT_MAP.source_code_description 255
+SOURCE_TO_CONCEPT_MAP.target_vocabulary_id 20
+SOURCE_TO_CONCEPT_MAP.invalid_reason 1
+"""
+
+
+def text_lengths(table: str) -> dict[str, int]:
+    """Column -> maximum length for one table."""
+    out = {}
+    for line in TEXT_LENGTHS_TEXT.strip().splitlines():
+        name, n = line.split()
+        t, c = name.split(".")
+        if t == table.upper():
+            out[c] = int(n)
+    return out

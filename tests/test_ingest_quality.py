@@ -137,3 +137,13 @@ def test_normalize_text_matches_python(spark):
             for r in docs.select("doc_id", "text").collect()}
     assert got == want
     assert spark.createDataFrame([("ÁRBOL Ñandú",)], "t string").select(normalize_text("t")).collect()[0][0] == "arbol nandu"
+
+
+def test_validate_cdm(spark):
+    person = spark.createDataFrame([(1, 8507, 1980, "x" * 60), (1, 8532, None, "ok"), (2, 99, 1990, None)],
+                                   "person_id long, gender_concept_id long, year_of_birth long,"
+                                   " person_source_value string")
+    concept = spark.createDataFrame([(8507,), (8532,)], "concept_id long")
+    got = {(r.check, r.table, r.column, r.value, r.n) for r in qa.validate_cdm({"PERSON": person, "CONCEPT": concept}).collect()}
+    assert got == {("pk", "PERSON", "person_id", "1", 2), ("fk", "PERSON", "gender_concept_id", "99", 1),
+                   ("null", "PERSON", "year_of_birth", None, 1), ("length", "PERSON", "person_source_value", None, 1)}
