@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from omoplate.operators.sizing import DEFAULT_BROADCAST_ROWS
+from omoplate.operators.sizing import DEFAULT_BROADCAST_ROWS, fits
 
 MAPS_TO = "Maps to"
 # Literal dictionaries up to this size become an inline map expression;
@@ -37,11 +37,11 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[Column | st
     left = df.withColumns({f"_lk{i}": l for i, (l, _) in enumerate(keys)})
     names = [f"_lk{i}" for i in range(len(keys))]
     right = lookup.withColumnsRenamed({r: n for (_, r), n in zip(keys, names)})
-    small = right.limit(max_rows + 1).count() <= max_rows
+    small = fits(right, max_rows)
     if not small:
         used = left.select(*names).distinct()
         right = right.join(used, names, "left_semi")
-        small = right.limit(max_rows + 1).count() <= max_rows
+        small = fits(right, max_rows)
     joined = left.join(F.broadcast(right) if small else right, names, "left")
     return joined.drop(*names)
 
