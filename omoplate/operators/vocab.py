@@ -170,6 +170,8 @@ def literal_lookup(df: DataFrame, column: str | Column, mapping: Mapping) -> Col
     col = F.col(column) if isinstance(column, str) else column
     if not mapping:
         return F.lit(None)
+    if all(isinstance(k, str) for k in mapping):
+        col = col.cast("string")  # text keys: compare as text, never cast the data to the key type
     pairs = [x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))]
     return F.try_element_at(F.create_map(*pairs), col)
 
