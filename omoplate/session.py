@@ -12,6 +12,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # partitions that fit an executor's memory when sorting for windows
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
