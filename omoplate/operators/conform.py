@@ -125,10 +125,17 @@ def dense_key(df: DataFrame, name: str, order: Sequence[Column | str], num_parti
     numbers cannot change between the count and the numbering and a lost
     executor does not re-number anything. The offset table has one row per
     partition, a bound we set ourselves, which is why it may be broadcast.
+    Input within a single partition's bound is sorted and numbered by one
+    task directly.
     """
     base = cut_lineage(df)
     n = num_partitions or max(1, math.ceil(base.count() / DENSE_KEY_PARTITION_ROWS))
     cols = _order_cols(order)
+    if n == 1:
+        # Within one partition's bound: one task sorts and numbers the rows.
+        # A retried task re-sorts the same files, so nothing else is written.
+        one = base.coalesce(1).sortWithinPartitions(*cols)
+        return one.withColumn(name, (F.monotonically_increasing_id() + F.lit(first)).cast("long"))
     staged = (base.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_okey", F.monotonically_increasing_id()))
