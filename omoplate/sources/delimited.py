@@ -40,9 +40,19 @@ def spark_csv_options(options: Mapping) -> dict[str, str]:
     return out
 
 
+# Charsets Spark's CSV reader accepts without the legacy Java charset switch.
+STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
+
+
 def read_delimited(spark: SparkSession, path: str, options: Mapping | None = None, strict: bool = False) -> DataFrame:
-    """S1 (read): every column as text. ``strict`` makes malformed rows fail."""
+    """S1 (read): every column as text. ``strict`` makes malformed rows fail.
+
+    Other Java charsets (e.g. ISO-8859-15 for ``latin9``) need
+    ``spark.sql.legacy.javaCharsets``, which is switched on for the session.
+    """
     opts = spark_csv_options(options or {})
+    if opts.get("encoding", "utf-8").lower() not in STANDARD_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     if strict:
         opts["mode"] = "FAILFAST"
     return spark.read.options(**opts).csv(path)

@@ -147,3 +147,12 @@ def test_validate_cdm(spark):
     got = {(r.check, r.table, r.column, r.value, r.n) for r in qa.validate_cdm({"PERSON": person, "CONCEPT": concept}).collect()}
     assert got == {("pk", "PERSON", "person_id", "1", 2), ("fk", "PERSON", "gender_concept_id", "99", 1),
                    ("null", "PERSON", "year_of_birth", None, 1), ("length", "PERSON", "person_source_value", None, 1)}
+
+
+def test_latin9_file(spark):
+    folder = tempfile.mkdtemp(prefix="omoplate-enc-")
+    path = os.path.join(folder, "f.csv")
+    with open(path, "wb") as f:
+        f.write("a;b\n€uro;ñu\n".encode("iso-8859-15"))
+    rows = dl.read_delimited(spark, path, {"sep": ";", "encoding": "latin9"}).collect()
+    assert [tuple(r) for r in rows] == [("€uro", "ñu")]
