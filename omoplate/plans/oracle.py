@@ -582,10 +582,26 @@ def _column_checks(table: str, src: str) -> list[str]:
 
 
 _CONCEPT_COLS = {"concept_id", "concept_name", "vocabulary_id", "standard_concept"}
+
+OP_DATE_RULES = f"""SELECT 'date' AS "check", 'OBSERVATION_PERIOD' AS "table", rule AS "column",
+    CAST(NULL AS VARCHAR) AS value, CAST(n AS BIGINT) AS n FROM (
+  UNPIVOT (SELECT COUNT(*) FILTER (WHERE s IS NULL) AS start_missing,
+                  COUNT(*) FILTER (WHERE e < s) AS end_before_start,
+                  COUNT(*) FILTER (WHERE s < birth) AS start_before_birth,
+                  COUNT(*) FILTER (WHERE s > death) AS start_after_death,
+                  COUNT(*) FILTER (WHERE e > death + INTERVAL 60 DAY) AS end_after_death_grace
+           FROM (SELECT op.observation_period_start_date AS s, op.observation_period_end_date AS e,
+                        p.birth_datetime AS birth, CAST(d.death_date AS TIMESTAMP) AS death
+                 FROM ({OBSERVATION_PERIOD}) op
+                 LEFT JOIN ({PERSON}) p ON op.person_id = p.person_id
+                 LEFT JOIN (SELECT person_id, MIN(death_date) AS death_date FROM ({DEATH}) x GROUP BY 1) d
+                   ON op.person_id = d.person_id) ev)
+  ON COLUMNS(*) INTO NAME rule VALUE n) u WHERE n > 0"""
 CDM_CONSTRAINTS = "WITH RECURSIVE dummy AS (SELECT 1) " + " UNION ALL ".join(
     [q for t, src in _TABLES.items() if t != "CONCEPT" for q in _column_checks(t, src)]
     + [q for q in _column_checks("CONCEPT", _TABLES["CONCEPT"])
-       if any(f"'{c}' AS \"column\"" in q for c in _CONCEPT_COLS)] +
+       if any(f"'{c}' AS \"column\"" in q for c in _CONCEPT_COLS)]
+    + [OP_DATE_RULES] +
     [_pk("PERSON", _TABLES["PERSON"], "person_id"),
      _pk("OBSERVATION_PERIOD", _TABLES["OBSERVATION_PERIOD"], "observation_period_id"),
      _pk("LOCATION", _TABLES["LOCATION"], "location_id"),

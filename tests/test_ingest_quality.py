@@ -156,3 +156,14 @@ def test_latin9_file(spark):
         f.write("a;b\n€uro;ñu\n".encode("iso-8859-15"))
     rows = dl.read_delimited(spark, path, {"sep": ";", "encoding": "latin9"}).collect()
     assert [tuple(r) for r in rows] == [("€uro", "ñu")]
+
+
+def test_validate_cdm_date_rules(spark):
+    person = spark.createDataFrame([(1, dt.datetime(1990, 1, 1))], "person_id long, birth_datetime timestamp_ntz")
+    op = spark.createDataFrame([(0, 1, dt.date(1985, 1, 1), dt.date(1984, 1, 1), 1)],
+                               "observation_period_id long, person_id long, observation_period_start_date date,"
+                               " observation_period_end_date date, period_type_concept_id long")
+    got = {(r.check, r.table, r.column, r.n) for r in qa.validate_cdm({"PERSON": person, "OBSERVATION_PERIOD": op}).collect()
+           if r.check == "date"}
+    assert got == {("date", "OBSERVATION_PERIOD", "end_before_start", 1),
+                   ("date", "OBSERVATION_PERIOD", "start_before_birth", 1)}
