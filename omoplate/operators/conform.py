@@ -133,8 +133,13 @@ def dense_key(df: DataFrame, name: str, order: Sequence[Column | str], num_parti
     cols = _order_cols(order)
     if n == 1:
         # Within one partition's bound: one task sorts and numbers the rows.
-        # A retried task re-sorts the same files, so nothing else is written.
-        one = base.coalesce(1).sortWithinPartitions(*cols)
+        # The remaining columns break ties, so a retried task re-sorts the
+        # same files into the same numbering (only identical rows can swap).
+        named = {c for c in order if isinstance(c, str)}
+        sortable = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+        rest = [F.col(f.name).asc_nulls_last() for f in base.schema.fields
+                if f.name not in named and isinstance(f.dataType, sortable)]
+        one = base.coalesce(1).sortWithinPartitions(*cols, *rest)
         return one.withColumn(name, (F.monotonically_increasing_id() + F.lit(first)).cast("long"))
     staged = (base.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)
