@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from omoplate.plans.registry import QUERIES  # noqa: E402
 from omoplate.session import get_session  # noqa: E402
 
-HEADLINE = ["observation_period", "remove_overlap", "group_dates", "visit_lookup", "visit_occurrence",
+HEADLINE = ["observation_period", "remove_overlap", "group_dates", "visit_lookup", "shipment_visit_lookup",
+            "visit_occurrence",
             "condition", "measurement", "drug"]
 
 

@@ -610,3 +610,19 @@ CDM_CONSTRAINTS = "WITH RECURSIVE dummy AS (SELECT 1) " + " UNION ALL ".join(
     + [_fk2(ct, _TABLES[ct], cc, _TABLES[pt], pc) for ct, cc, pt, pc in _FKS])
 
 ORACLE_SQL["cdm_constraints"] = CDM_CONSTRAINTS
+
+
+SHIPMENT_VISIT_LOOKUP = f"""WITH e AS (SELECT CAST(o.o_custkey AS BIGINT) AS person_id, l.l_shipdate AS start_date,
+        l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+v AS ({ORDER_VISITS}),
+m AS (SELECT e.l_orderkey, e.l_linenumber, e.l_partkey, e.l_suppkey, v.vid, v.vs, v.ve,
+        row_number() OVER (PARTITION BY e.l_orderkey, e.l_linenumber, e.l_partkey, e.l_suppkey
+                           ORDER BY v.vs, v.ve, v.vid) AS rk
+      FROM e JOIN v ON e.person_id = v.person_id
+       AND date_trunc('millisecond', e.start_date) BETWEEN v.vs AND v.ve)
+SELECT e.*, CAST(m.vid AS BIGINT) AS visit_occurrence_id, m.vs AS visit_start_datetime, m.ve AS visit_end_datetime
+FROM e LEFT JOIN m ON e.l_orderkey = m.l_orderkey AND e.l_linenumber = m.l_linenumber
+  AND e.l_partkey = m.l_partkey AND e.l_suppkey = m.l_suppkey AND m.rk = 1"""
+
+ORACLE_SQL["shipment_visit_lookup"] = SHIPMENT_VISIT_LOOKUP

@@ -383,3 +383,19 @@ def q_cdm_constraints(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["cdm_constraints"] = q_cdm_constraints
+
+
+SHIPMENT_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def q_shipment_visit_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """J10 with a composite event key: every shipment against its
+    customer's order visits."""
+    li = td.table(spark, sf, "lineitem").select(*SHIPMENT_KEYS, "l_shipdate")
+    od = td.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    ev = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("o_custkey").cast("long").alias("person_id"), F.col("l_shipdate").alias("start_date"), *SHIPMENT_KEYS)
+    return vi.link_visits(ev, ["person_id", "start_date", *SHIPMENT_KEYS], td.order_visits(spark, sf))
+
+
+QUERIES["shipment_visit_lookup"] = q_shipment_visit_lookup
