@@ -1,9 +1,10 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup
+from omoplate.llm import exact_dedup, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op10_simhash": simhash.op10_simhash,
 }
 ORACLE_SQL = {
     **exact_dedup.ORACLE_SQL,
