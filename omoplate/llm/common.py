@@ -39,7 +39,7 @@ def doc_texts(docs: DataFrame) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Spark's estimate of the bytes of ``df``: file sizes where the plan reads files. No job runs."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size if size < 1 << 50 else 1 << 30  # a plan without statistics claims the largest long
 
 
