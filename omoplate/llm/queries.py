@@ -1,9 +1,10 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup, simhash, superkmer
+from omoplate.llm import exact_dedup, simhash, superkmer, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_token_files": token_files.op3_token_files,
     "op9_substring_dedup": superkmer.op9_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
