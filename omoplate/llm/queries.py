@@ -1,10 +1,11 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup, packing, simhash, superkmer, token_files, word_table
+from omoplate.llm import exact_dedup, packing, simhash, superkmer, token_files, toxicity, word_table
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_token_files": token_files.op3_token_files,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": word_table.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op9_substring_dedup": superkmer.op9_substring_dedup,
