@@ -1,6 +1,6 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup, packing, simhash, superkmer, token_files, toxicity, word_table
+from omoplate.llm import exact_dedup, multi_index, packing, simhash, superkmer, token_files, toxicity, word_table
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": word_table.op5_bpe,
     "op6_packing": packing.op6_packing,
+    "op7_neighbours": multi_index.op7_neighbours,
     "op9_substring_dedup": superkmer.op9_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
