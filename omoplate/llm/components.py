@@ -18,13 +18,12 @@ from omoplate.llm.common import cut_lineage
 
 
 def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.col("a").cast("double")), F.bit_xor(F.xxhash64("a", "b")))
-                 .collect()[0])
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).collect()[0])
 
 
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
-    """``node, component`` for every node of ``edges`` (two long columns): the smallest node that
-    can be reached. Null ends, loops and repeated edges do no harm."""
+    """``node, component`` for every node of ``edges`` (two columns of one ordered type): the
+    smallest node that can be reached. Null ends, loops and repeated edges do no harm."""
     e = cut_lineage(edges.filter(F.col(src).isNotNull() & F.col(dst).isNotNull())
                     .select(F.greatest(src, dst).alias("a"), F.least(src, dst).alias("b")).distinct())
     loops = e.filter("a = b").select(F.col("a").alias("node"))

@@ -1,6 +1,6 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup, multi_index, packing, simhash, superkmer, token_files, toxicity, word_table
+from omoplate.llm import exact_dedup, multi_index, packing, simhash, superkmer, token_files, toxicity, url_filter, word_table
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -9,9 +9,11 @@ QUERIES = {
     "op5_bpe": word_table.op5_bpe,
     "op6_packing": packing.op6_packing,
     "op7_neighbours": multi_index.op7_neighbours,
+    "op8_url_filter": url_filter.op8_url_filter,
     "op9_substring_dedup": superkmer.op9_substring_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLE_SQL = {
     **exact_dedup.ORACLE_SQL,
+    **url_filter.ORACLE_SQL,
 }
