@@ -116,7 +116,9 @@ def fit(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE,
     texts = doc_texts(docs).filter(F.col("doc_id").isNotNull() & in_training())
     by_hash = F.xxhash64("doc_id", F.lit("sample"))
     positive = marks.filter("toxic = 1").select("doc_id").distinct().orderBy(by_hash).limit(most_positive)
-    anyone = texts.select("doc_id").orderBy(by_hash).limit(most_unlabelled)
+    # before the exact cut, a share of the hashes that holds about three times as many
+    share = min(1.0, 3 * most_unlabelled / max(1, texts.select("doc_id").count()))
+    anyone = texts.select("doc_id").filter(F.pmod(by_hash, F.lit(1 << 30)) < share * (1 << 30)).orderBy(by_hash).limit(most_unlabelled)
     # two samples of fixed size at most, so they may be broadcast
     chosen = positive.withColumn("positive", F.lit(True)).unionByName(anyone.distinct().withColumn("positive", F.lit(False)))
 
