@@ -192,9 +192,10 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     if not unnamed.isEmpty():
         named = out.filter(F.col("doc_id").isNotNull())
         free = marks.filter("doc_id is null and kept").select("text_sha256").distinct()
-        rest = docs.filter(F.col("doc_id").isNull()).withColumn("_s", F.sha2(F.coalesce("text", F.lit("")), 256))
-        rest = rest.join(free.withColumnRenamed("text_sha256", "_s"), "_s", "left_semi").dropDuplicates(["_s"])
-        out = named.unionByName(rest.select(*docs.columns))
+        rest = docs.filter(F.col("doc_id").isNull()).select(
+            F.struct("*").alias("row"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+        rest = rest.join(free, "text_sha256", "left_semi").dropDuplicates(["text_sha256"])
+        out = named.unionByName(rest.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
     if not again.isEmpty():
         twice = broadcast_if_small(again)
         once = out.join(twice, "doc_id", "left_anti").select(*docs.columns)

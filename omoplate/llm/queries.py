@@ -1,9 +1,10 @@
 """The driver queries of this package."""
 
-from omoplate.llm import exact_dedup, multi_index, packing, simhash, superkmer, token_files, toxicity, url_filter, word_table
+from omoplate.llm import exact_dedup, multi_index, packing, secrets, simhash, superkmer, token_files, toxicity, url_filter, word_table
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_secrets": secrets.op2_secrets,
     "op3_token_files": token_files.op3_token_files,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": word_table.op5_bpe,

@@ -176,8 +176,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """``docs`` without the texts that score ``threshold`` or more."""
     ready(docs.sparkSession)
     model = fit(docs, labels)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, score(model).alias("_toxicity")).filter(F.col("_toxicity") < threshold).drop("_toxicity")
+    # the columns travel in a struct, so that none can clash with the score
+    scored = docs.select(F.struct("*").alias("row"), "text").select("row", score(model).alias("toxicity"))
+    return scored.filter(F.col("toxicity") < threshold).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
