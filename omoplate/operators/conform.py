@@ -16,7 +16,7 @@ def rename_strict(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     """Rename; every source name must exist (``ValueError`` otherwise)."""
     missing = set(mapping) - set(df.columns)
     if missing:
-        raise ValueError(f"Column(s) {sorted(missing)} not found in table")
+        raise ValueError(f"cannot rename {sorted(missing)}: no such columns")
     return df.withColumnsRenamed(dict(mapping)) if mapping else df
 
 
@@ -125,21 +125,20 @@ def dense_key(df: DataFrame, name: str, order: Sequence[Column | str], num_parti
     numbers cannot change between the count and the numbering and a lost
     executor does not re-number anything. The offset table has one row per
     partition, a bound we set ourselves, which is why it may be broadcast.
-    Input within a single partition's bound is sorted and numbered by one
-    task directly.
+    The remaining columns break ties, so the numbering is the same however
+    many partitions there are, and a retried task numbers as before (only
+    identical rows can swap). Input within a single partition's bound is
+    sorted and numbered by one task directly.
     """
     base = cut_lineage(df)
     n = num_partitions or max(1, math.ceil(base.count() / DENSE_KEY_PARTITION_ROWS))
-    cols = _order_cols(order)
+    named = {c for c in order if isinstance(c, str)}
+    sortable = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    rest = [F.col(f.name).asc_nulls_last() for f in base.schema.fields
+            if f.name not in named and isinstance(f.dataType, sortable)]
+    cols = [*_order_cols(order), *rest]
     if n == 1:
-        # Within one partition's bound: one task sorts and numbers the rows.
-        # The remaining columns break ties, so a retried task re-sorts the
-        # same files into the same numbering (only identical rows can swap).
-        named = {c for c in order if isinstance(c, str)}
-        sortable = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
-        rest = [F.col(f.name).asc_nulls_last() for f in base.schema.fields
-                if f.name not in named and isinstance(f.dataType, sortable)]
-        one = base.coalesce(1).sortWithinPartitions(*cols, *rest)
+        one = base.coalesce(1).sortWithinPartitions(*cols)
         return one.withColumn(name, (F.monotonically_increasing_id() + F.lit(first)).cast("long"))
     staged = (base.repartitionByRange(n, *cols)
               .sortWithinPartitions(*cols)

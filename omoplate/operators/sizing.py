@@ -1,62 +1,25 @@
 """Size-checked broadcast.
 
-A side is broadcast only after its row count has been measured against a
-limit; above the limit the plain (shuffle) join is left to Spark and AQE.
-While a pipeline is being built (``reuse_size_checks``), the answer for a
-lookup whose plan is identical to one already measured is reused.
+A side is broadcast only after its rows have been counted against a limit;
+above the limit the plain (shuffle) join is left to Spark and AQE. The
+count computes that side, so it is meant for sides that are cheap to
+compute or already written.
 """
 
 from __future__ import annotations
 
-import contextlib
-import contextvars
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a lookup table we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-_memo: contextvars.ContextVar[dict | None] = contextvars.ContextVar("omoplate_size_memo", default=None)
-
-
-@contextlib.contextmanager
-def reuse_size_checks():
-    """Within the block, identical lookups (same semantic plan) are measured once."""
-    token = _memo.set({})
-    try:
-        yield
-    finally:
-        _memo.reset(token)
-
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting early)."""
-    memo = _memo.get()
-    key = (df.semanticHash(), max_rows) if memo is not None else None
-    if key is not None and key in memo:
-        return memo[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        memo[key] = ok
-    return ok
+    """True when ``df`` has at most ``max_rows`` rows. A plain scan stops early; an aggregate does not."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
-
-    The count runs on the (usually filtered, deduplicated) lookup side only;
-    it stops early via ``limit`` so a huge side costs no full scan.
-    """
+    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows."""
     return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def measured_once(fn):
-    """Decorator: run a pipeline builder inside ``reuse_size_checks``."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(*args, **kwargs):
-        with reuse_size_checks():
-            return fn(*args, **kwargs)
-    return wrapper

@@ -13,37 +13,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from omoplate.operators.sizing import DEFAULT_BROADCAST_ROWS, fits
+from omoplate.session import cut_lineage
 
 MAPS_TO = "Maps to"
 # Literal dictionaries up to this size become an inline map expression;
-# larger ones are joined as a (size-checked) lookup table.
+# larger ones are joined as a table, with the same types and results.
 INLINE_MAP_ENTRIES = 5_000
 
 
 # -- helpers ------------------------------------------------------------------
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[Column | str, str]],
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Left-join ``df`` to a lookup with unique keys, shuffling as little as possible.
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[tuple[Column | str, str]]) -> DataFrame:
+    """Left-join ``df`` to a lookup with unique keys.
 
-    ``on`` pairs a left expression with a lookup key column. The lookup is
-    broadcast when its measured size allows; otherwise it is first cut down
-    to the keys ``df`` actually uses (a map-side-combined distinct, far
-    smaller than ``df``) and measured again; only if that is still too big
-    is it a shuffle join, where AQE splits skewed keys.
+    ``on`` pairs a left expression with a lookup key column. ``df`` is used
+    once and no job runs while the plan is built: Spark broadcasts the
+    lookup if its estimated or, at run time, its measured bytes allow, and
+    otherwise joins by a shuffle, where it splits skewed keys.
     """
     keys = [(F.col(l) if isinstance(l, str) else l, r) for l, r in on]
-    left = df.withColumns({f"_lk{i}": l for i, (l, _) in enumerate(keys)})
     names = [f"_lk{i}" for i in range(len(keys))]
+    left = df.withColumns({n: l for n, (l, _) in zip(names, keys)})
     right = lookup.withColumnsRenamed({r: n for (_, r), n in zip(keys, names)})
-    small = fits(right, max_rows)
-    if not small:
-        used = left.select(*names).distinct()
-        right = right.join(used, names, "left_semi")
-        small = fits(right, max_rows)
-    joined = left.join(F.broadcast(right) if small else right, names, "left")
-    return joined.drop(*names)
+    return left.join(right, names, "left").drop(*names)
 
 
 def _pick(value: str, order_column: str | None) -> Column:
@@ -53,7 +45,7 @@ def _pick(value: str, order_column: str | None) -> Column:
 def unmapped(c: Column | str, is_string: bool = False) -> Column:
     """null, 0 (or "" for a string column) means unmapped."""
     col = F.col(c) if isinstance(c, str) else c
-    cond = col.isNull() | (col == 0) if not is_string else col.isNull() | (col == "") | (col == "0")
+    cond = col.isNull() | (col == 0) if not is_string else col.isNull() | (col == "")
     return F.coalesce(cond, F.lit(True))
 
 
@@ -122,18 +114,44 @@ def map_source_concept_id(df: DataFrame, concept_relationship: DataFrame,
     }).drop("_c2")
 
 
+# -- J1 + J2 ------------------------------------------------------------------
+
+def standard_lookup(concept: DataFrame, concept_relationship: DataFrame, target_vocab: Mapping[str, str],
+                    order_column: str | None = None) -> DataFrame:
+    """(vocabulary, key) -> source concept and standard concept (0 without a ``Maps to`` edge),
+    composed before any fact row is touched."""
+    source = source_value_lookup(concept, target_vocab, order_column)
+    edges = maps_to_lookup(concept_relationship, order_column)
+    return source.join(edges, source["_cid"] == edges["_c1"], "left").select(
+        "_vocab", "_key", "_cid", F.coalesce("_c2", F.lit(0)).cast("long").alias("_std"))
+
+
+def map_to_standard(df: DataFrame, target_vocab: Mapping[str, str], concept: DataFrame,
+                    concept_relationship: DataFrame, source_column: str, vocabulary_column: str,
+                    source_concept_id_column: str, concept_id_column: str,
+                    order_column: str | None = None) -> DataFrame:
+    """J1 then J2 in one join: null source concept and standard concept 0 where nothing matches."""
+    lookup = standard_lookup(concept, concept_relationship, target_vocab, order_column)
+    base = df.drop(source_concept_id_column, concept_id_column)
+    out = lookup_join(base, lookup, [(F.col(vocabulary_column), "_vocab"),
+                                     (F.col(source_column).cast("string"), "_key")])
+    return out.withColumns({source_concept_id_column: F.col("_cid"),
+                            concept_id_column: F.coalesce("_std", F.lit(0)).cast("long")}).drop("_cid", "_std")
+
+
 # -- J3 -----------------------------------------------------------------------
 
-def value_lookup(vocabulary: DataFrame, code_column: str, value_column: str) -> DataFrame:
-    """J3 (build): code -> value, one value per code (the greatest)."""
-    return vocabulary.groupBy(F.col(code_column).alias("_code")).agg(F.max(value_column).alias("_value"))
+def value_lookup(vocabulary: DataFrame, code_column: str, value_column: str,
+                 order_column: str | None = None) -> DataFrame:
+    """J3 (build): code -> value, one value per code (the greatest, or that at the greatest ``order_column``)."""
+    return vocabulary.groupBy(F.col(code_column).alias("_code")).agg(_pick(value_column, order_column).alias("_value"))
 
 
 def apply_value_lookup(df: DataFrame, vocabulary: DataFrame, source_column: str, code_column: str,
-                       value_column: str, output: str) -> DataFrame:
+                       value_column: str, output: str, order_column: str | None = None) -> DataFrame:
     """J3 (apply): ``output`` = value of the row's code, null when absent."""
     base = df.drop(output) if output in df.columns else df
-    out = lookup_join(base, value_lookup(vocabulary, code_column, value_column),
+    out = lookup_join(base, value_lookup(vocabulary, code_column, value_column, order_column),
                       [(F.col(source_column), "_code")])
     return out.withColumnRenamed("_value", output)
 
@@ -143,37 +161,63 @@ def apply_value_lookup(df: DataFrame, vocabulary: DataFrame, source_column: str,
 UNIT_VOCABULARIES = ("UCUM", "SNOMED")
 
 
-def map_units(df: DataFrame, concept: DataFrame, source_column: str = "unit_source_value") -> DataFrame:
+def unit_lookup(concept: DataFrame, order_column: str | None = None) -> DataFrame:
+    """unit text -> (vocabulary, source concept): by UCUM code, else by SNOMED name."""
+    units = concept.filter((F.col("domain_id") == "Unit") & F.col("vocabulary_id").isin(*UNIT_VOCABULARIES))
+    found = source_value_lookup(units, {"UCUM": "concept_code", "SNOMED": "concept_name"}, order_column)
+    # "UCUM" sorts after "SNOMED", so the greatest pair is the preferred one
+    best = found.groupBy("_key").agg(F.max(F.struct("_vocab", "_cid")).alias("_best"))
+    return best.select("_key", "_best._vocab", "_best._cid")
+
+
+def map_units(df: DataFrame, concept: DataFrame, source_column: str = "unit_source_value",
+              order_column: str | None = None) -> DataFrame:
     """Units by UCUM code first, then by SNOMED name for the rest.
 
     Adds ``unit_vocabulary_id`` (UCUM when the code matched, else SNOMED)
     and ``unit_source_concept_id``.
     """
-    units = concept.filter((F.col("domain_id") == "Unit") & F.col("vocabulary_id").isin(*UNIT_VOCABULARIES))
-    ucum = source_value_lookup(units, {"UCUM": "concept_code"}).select(
-        F.col("_key").alias("_ukey"), F.col("_cid").alias("_ucum"))
-    snomed = source_value_lookup(units, {"SNOMED": "concept_name"}).select(
-        F.col("_key").alias("_skey"), F.col("_cid").alias("_snomed"))
     base = df.drop("unit_vocabulary_id", "unit_source_concept_id")
-    out = lookup_join(base, ucum, [(F.col(source_column), "_ukey")])
-    out = lookup_join(out, snomed, [(F.col(source_column), "_skey")])
-    return out.withColumns({
-        "unit_vocabulary_id": F.when(F.col("_ucum").isNotNull(), F.lit("UCUM")).otherwise(F.lit("SNOMED")),
-        "unit_source_concept_id": F.coalesce(F.col("_ucum"), F.col("_snomed")),
-    }).drop("_ucum", "_snomed")
+    out = lookup_join(base, unit_lookup(concept, order_column), [(F.col(source_column), "_key")])
+    return out.withColumns({"unit_vocabulary_id": F.coalesce("_vocab", F.lit("SNOMED")),
+                            "unit_source_concept_id": F.col("_cid")}).drop("_vocab", "_cid")
+
+
+def map_lab_units(df: DataFrame, units: DataFrame, concept: DataFrame, concept_relationship: DataFrame,
+                  name_column: str, unit_name: str, unit_text: str, order_column: str | None = None) -> DataFrame:
+    """J3, J4 and J2 for units in one join: lab name -> unit text, source and standard concept.
+
+    ``units`` holds a lab's name in ``unit_name`` and its unit in
+    ``unit_text``. Adds ``unit_source_value``, ``unit_vocabulary_id``,
+    ``unit_source_concept_id`` and ``unit_concept_id``.
+    """
+    texts = value_lookup(units, unit_name, unit_text).withColumnRenamed("_value", "_key")
+    edges = maps_to_lookup(concept_relationship, order_column)
+    table = texts.join(unit_lookup(concept, order_column), "_key", "left")
+    table = table.join(edges, table["_cid"] == edges["_c1"], "left").select("_code", "_key", "_vocab", "_cid", "_c2")
+    base = df.drop("unit_source_value", "unit_vocabulary_id", "unit_source_concept_id", "unit_concept_id")
+    out = lookup_join(base, table, [(F.col(name_column), "_code")])
+    return out.withColumns({"unit_source_value": F.col("_key"), "unit_vocabulary_id": F.coalesce("_vocab", F.lit("SNOMED")),
+                            "unit_source_concept_id": F.col("_cid"),
+                            "unit_concept_id": F.coalesce("_c2", F.lit(0)).cast("long")}).drop("_key", "_vocab", "_cid", "_c2")
 
 
 # -- J5 / J6 / J15 ------------------------------------------------------------
 
+def _key_type(mapping: Mapping) -> str:
+    """Keys are compared as text unless all are whole numbers, or all are numbers."""
+    kinds = {type(k) for k in mapping}
+    return "bigint" if kinds == {int} else "double" if kinds <= {int, float} else "string"
+
+
 def literal_lookup(df: DataFrame, column: str | Column, mapping: Mapping) -> Column:
-    """Value of ``column`` in a literal dictionary (null when absent)."""
+    """Value of ``column`` in a literal dictionary (null when absent, or when the value is no such key at all)."""
     col = F.col(column) if isinstance(column, str) else column
     if not mapping:
         return F.lit(None)
-    if all(isinstance(k, str) for k in mapping):
-        col = col.cast("string")  # text keys: compare as text, never cast the data to the key type
-    pairs = [x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))]
-    return F.try_element_at(F.create_map(*pairs), col)
+    kind = _key_type(mapping)
+    pairs = [x for k, v in mapping.items() for x in (F.lit(str(k) if kind == "string" else k).cast(kind), F.lit(v))]
+    return F.try_element_at(F.create_map(*pairs), col.try_cast(kind))
 
 
 def apply_source_mapping(df: DataFrame, value_mappings: Mapping[str, Mapping],
@@ -181,7 +225,7 @@ def apply_source_mapping(df: DataFrame, value_mappings: Mapping[str, Mapping],
     """``<x>_source_value`` -> ``<x>_concept_id`` from literal dictionaries.
 
     Small dictionaries are inline map expressions; a large one is joined as
-    a lookup table.
+    a lookup table with the same key and value types.
     """
     output_columns = output_columns or {}
     out = df
@@ -190,9 +234,15 @@ def apply_source_mapping(df: DataFrame, value_mappings: Mapping[str, Mapping],
         if len(mapping) <= INLINE_MAP_ENTRIES:
             out = out.withColumn(target, literal_lookup(out, source, mapping))
         else:
-            spark = df.sparkSession
-            table = spark.createDataFrame([(str(k), v) for k, v in mapping.items()], "_k string, _v long")
-            out = lookup_join(out, table, [(F.col(source).cast("string"), "_k")]).withColumnRenamed("_v", target)
+            kind = _key_type(mapping)
+            value = next((v for v in mapping.values() if v is not None), None)
+            value_type = df.sparkSession.range(1).select(F.lit(value).alias("v")).dtypes[0][1]
+            rows = [(str(k) if kind == "string" else k, v) for k, v in mapping.items()]
+            names = {"bigint": int, "double": float}.get(kind, str)
+            table = df.sparkSession.createDataFrame([(names(k), v) for k, v in rows], ["_k", "_v"]).select(
+                F.col("_k").cast(kind).alias("_k"), F.col("_v").cast(value_type).alias(target))
+            base = out.drop(target)
+            out = lookup_join(base, table, [(F.col(source).try_cast(kind), "_k")])
     return out
 
 
@@ -207,7 +257,7 @@ def transform_gender(df: DataFrame, code_column: str, label_column: str, mapping
                           "gender_source_concept_id": F.col(code_column),
                           "gender_source_value": F.col(label_column)})
     if out.filter(F.col("gender_concept_id").isNull()).limit(1).count():
-        raise TypeError("Mapping was unsuccessful. Check mapping completeness.")
+        raise TypeError(f"{code_column} holds a code that the gender mapping lacks")
     return out
 
 
@@ -216,7 +266,8 @@ def transform_gender(df: DataFrame, code_column: str, label_column: str, mapping
 def fallback_mapping(df: DataFrame, concept: DataFrame, concept_relationship: DataFrame,
                      fallback_vocabs: Mapping[str, str], source_value_column: str,
                      source_concept_id_column: str, concept_id_column: str,
-                     vocabulary_id_column: str = "vocabulary_id") -> tuple[DataFrame, Column]:
+                     vocabulary_id_column: str = "vocabulary_id",
+                     order_column: str | None = None) -> tuple[DataFrame, Column]:
     """Retry unmapped rows with other vocabularies, in order.
 
     Mapped rows are untouched. An unmapped row takes the first fallback
@@ -227,16 +278,19 @@ def fallback_mapping(df: DataFrame, concept: DataFrame, concept_relationship: Da
     vocabs = list(fallback_vocabs.items())
     if not vocabs:
         return df, unmapped(concept_id_column)
-    edges = maps_to_lookup(concept_relationship)
+    edges = maps_to_lookup(concept_relationship, order_column)
     was_unmapped = unmapped(concept_id_column, _is_string(df, concept_id_column))
     out = df.withColumn("_fb_open", was_unmapped)
+    # rows that are mapped already get keys that match nothing and lie apart, not one null for all
+    text = F.col(source_value_column).cast("string")
+    closed = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string"))
+    retried = F.when(F.col("_fb_open"), text).otherwise(closed)
     for i, (vocab, target) in enumerate(vocabs):
-        cand = source_value_lookup(concept, {vocab: target}).select(F.col("_key").alias(f"_fk{i}"),
-                                                                   F.col("_cid").alias(f"_fs{i}"))
+        cand = source_value_lookup(concept, {vocab: target}, order_column).select(
+            F.col("_key").alias(f"_fk{i}"), F.col("_cid").alias(f"_fs{i}"))
         cand = cand.join(edges, cand[f"_fs{i}"] == edges["_c1"], "left").select(
             f"_fk{i}", f"_fs{i}", F.coalesce(F.col("_c2"), F.lit(0)).alias(f"_fc{i}"))
-        out = lookup_join(out, cand, [(F.when(F.col("_fb_open"), F.col(source_value_column).cast("string")),
-                                       f"_fk{i}")])
+        out = lookup_join(out, cand, [(retried, f"_fk{i}")])
         out = out.withColumn(f"_fc{i}", F.coalesce(F.col(f"_fc{i}"), F.lit(0)))
     last = len(vocabs) - 1
     vocab_e, src_e, std_e = F.lit(vocabs[last][0]), F.col(f"_fs{last}"), F.col(f"_fc{last}")
@@ -265,11 +319,11 @@ def update_concept_mappings(df: DataFrame, source_column: str, target_column: st
     job); pipelines pass False, where an empty table simply stays empty.
     """
     if source_column not in df.columns:
-        raise KeyError(f"Source column '{source_column}' not found in DataFrame")
+        raise KeyError(f"no column {source_column!r} to look values up by")
     if target_column not in df.columns:
-        raise KeyError(f"Target column '{target_column}' not found in DataFrame")
+        raise KeyError(f"no column {target_column!r} to put concepts into")
     if check_empty and df.limit(1).count() == 0:
-        raise ValueError("DataFrame cannot be empty")
+        raise ValueError("there are no rows to map")
     if not new_concept_mappings:
         return df
     is_str = _is_string(df, target_column)
@@ -290,7 +344,7 @@ def check_overrides_standard(concept: DataFrame, overrides: Mapping, allow_zero:
              .select("concept_id").distinct().collect()}
     bad = [t for t in wanted if t not in found]
     if bad:
-        raise AssertionError(f"concept_id {bad} is not standard")
+        raise AssertionError(f"override targets that are no standard concepts: {bad}")
 
 
 def check_unmapped_values(df: DataFrame, params: Mapping, fields: Sequence[str], concept: DataFrame | None = None,
@@ -324,10 +378,18 @@ def report_unmapped(df: DataFrame, unmapped_values: DataFrame, source_value_colu
                     source_concept_id_column: str, concept_id_column: str,
                     extra_cols: Sequence[str] = ("vocabulary_id", "type_concept")) -> DataFrame:
     """Every distinct (value, ids, extras) row of a value that is unmapped
-    somewhere, including rows where the same value did map, sorted by value."""
+    somewhere, including rows where the same value did map. The sink sorts."""
     cols = [source_value_column, source_concept_id_column, concept_id_column, *extra_cols]
-    hits = df.join(unmapped_values.select(source_value_column).distinct(), source_value_column, "left_semi")
-    return hits.select(*cols).distinct().orderBy(source_value_column)
+    hits = df.select(*cols).distinct()  # few rows: the semi-join runs on these
+    return hits.join(unmapped_values.select(source_value_column).distinct(), source_value_column, "left_semi").select(*cols)
+
+
+def unmapped_summary(df: DataFrame, source_value_column: str, source_concept_id_column: str, concept_id_column: str,
+                     extra_cols: Sequence[str] = ("vocabulary_id", "type_concept")) -> DataFrame:
+    """A8 and A9 with one pass over ``df``: its distinct rows are read twice, the data once."""
+    distinct = cut_lineage(df.select(source_value_column, source_concept_id_column, concept_id_column, *extra_cols).distinct())
+    values = find_unmapped_values(distinct, source_value_column, concept_id_column)
+    return report_unmapped(distinct, values, source_value_column, source_concept_id_column, concept_id_column, extra_cols)
 
 
 # -- J13 / J14 ----------------------------------------------------------------

@@ -300,7 +300,7 @@ def _nl(cols: str) -> str:
     return ", ".join(f"{c.strip()} ASC NULLS LAST" for c in cols.split(","))
 
 
-CONDITION = f"""WITH r AS ({REC}),
+_CONDITION_MAPPED = f"""WITH r AS ({REC}),
 m AS (SELECT r.person_id, r.start_date, r.end_date, r.type_concept, r.source_value AS condition_source_value,
         r.vocabulary_id, CAST(s.cid AS BIGINT) AS src, CAST(COALESCE(e.c2, 0) AS BIGINT) AS std
       FROM r LEFT JOIN ({SV_LOOKUP}) s ON r.vocabulary_id = s.mv AND r.source_value = s.mk
@@ -312,7 +312,9 @@ g AS (SELECT person_id, start_date, end_date, type_concept, condition_source_val
         CASE WHEN NOT open_ THEN vocabulary_id WHEN fc0 <> 0 THEN 'Brand#21' ELSE 'Brand#22' END AS vocabulary_id,
         CAST(CASE WHEN NOT open_ THEN src WHEN fc0 <> 0 THEN fs0 ELSE fs1 END AS BIGINT) AS condition_source_concept_id,
         CAST(CASE WHEN NOT open_ THEN std WHEN fc0 <> 0 THEN fc0 ELSE fc1 END AS BIGINT) AS condition_concept_id
-      FROM f),
+      FROM f)"""
+
+CONDITION = f"""{_CONDITION_MAPPED},
 k AS (SELECT *, CAST(row_number() OVER (ORDER BY {_nl('person_id, start_date, end_date, condition_source_value, vocabulary_id, type_concept, condition_source_concept_id, condition_concept_id')}) - 1 AS BIGINT) AS condition_occurrence_id FROM g),
 {link_ctes('k', 'condition_occurrence_id', 'lk')}
 SELECT condition_occurrence_id, CAST(person_id AS BIGINT) AS person_id, condition_concept_id,
@@ -449,11 +451,11 @@ UNION ALL
 SELECT CAST(2 AS BIGINT), CAST(c_custkey AS BIGINT), DATE '2018-01-01', DATE '2023-12-01'
   FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') b"""
 
-CDM_SOURCE = """SELECT 'omoplate' AS cdm_source_name, 'omoplate' AS cdm_source_abbreviation, 'FPS' AS cdm_holder,
+CDM_SOURCE = """SELECT 'omoplate' AS cdm_source_name, 'omoplate' AS cdm_source_abbreviation, 'Example holder' AS cdm_holder,
   'OMOP instance built from the benchmark tables' AS source_description,
-  CAST(NULL AS VARCHAR) AS source_documentation_reference, 'v1.0' AS cdm_etl_reference,
-  CAST(MAX(o_orderdate) AS DATE) AS source_release_date, DATE '2025-01-21' AS cdm_release_date,
-  '5.4' AS cdm_version, CAST(756265 AS BIGINT) AS cdm_version_concept_id, 'v20240830' AS vocabulary_version
+  CAST(NULL AS VARCHAR) AS source_documentation_reference, 'etl-7' AS cdm_etl_reference,
+  CAST(MAX(o_orderdate) AS DATE) AS source_release_date, DATE '2024-03-04' AS cdm_release_date,
+  '5.4' AS cdm_version, CAST(756265 AS BIGINT) AS cdm_version_concept_id, 'vocabulary-3' AS vocabulary_version
 FROM orders"""
 
 STANDARDISE = """SELECT CAST(o_custkey AS BIGINT) AS person_id, o_orderdate AS start_date,
@@ -495,6 +497,7 @@ FK_CHECK = " UNION ALL ".join([
     _fk("lineitem", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     _fk("orders", "orders", "o_custkey", "customer", "c_custkey"),
     _fk("events", "events", "user_id", "customer", "c_custkey"),
+    _fk("events", "events", "event_id", f"({VISITS}) v", "visit_occurrence_id"),
     _fk("PERSON", f"({PERSON}) p", "location_id", f"({LOCATION}) l", "location_id"),
 ])
 
@@ -626,3 +629,39 @@ FROM e LEFT JOIN m ON e.l_orderkey = m.l_orderkey AND e.l_linenumber = m.l_linen
   AND e.l_partkey = m.l_partkey AND e.l_suppkey = m.l_suppkey AND m.rk = 1"""
 
 ORACLE_SQL["shipment_visit_lookup"] = SHIPMENT_VISIT_LOOKUP
+
+
+# -- operators that no table pipeline uses ---------------------------------------------
+
+ORACLE_SQL.update({
+    # lower() differs between engines only on letters with special casing, which the documents lack
+    "normalize_text": "SELECT doc_id, translate(lower(text), 'áéíóúüñ', 'aeiouun') AS text_normalized FROM documents",
+    "conform_schema": """SELECT CAST(l_orderkey AS BIGINT) AS order_id, CAST(l_linenumber AS BIGINT) AS line,
+        'LINES' AS vocabulary_id, CAST(l_quantity AS DOUBLE) AS quantity, CAST(0 AS DOUBLE) AS score,
+        CAST(NULL AS VARCHAR) AS note FROM lineitem""",
+    "transform_registry": f"""SELECT DISTINCT person_id, start_date, start_date AS end_date, type_concept
+        FROM ({IV}) i WHERE start_date IS NOT NULL""",
+    "gender": """SELECT c_custkey, CAST(CASE WHEN c_nationkey % 2 = 0 THEN 8507 ELSE 8532 END AS BIGINT) AS gender_concept_id,
+        CAST(c_nationkey % 2 AS BIGINT) AS gender_source_concept_id,
+        CASE WHEN c_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS gender_source_value FROM customer""",
+    "provider_link": f"""WITH p AS ({PROVIDER}), l AS (SELECT l_orderkey, l_linenumber,
+            CASE WHEN l_linenumber < 7 THEN CAST(l_suppkey AS VARCHAR) END AS sid FROM lineitem)
+        SELECT l.*, p.provider_id FROM l LEFT JOIN p ON l.sid = p.provider_source_value""",
+    "cohort_definition": f"""SELECT cohort_definition_id,
+            CASE cohort_definition_id WHEN 1 THEN 'Building segment' ELSE 'Machinery segment' END AS cohort_definition_name,
+            CAST(32882 AS BIGINT) AS definition_type_concept_id, CAST(1147314 AS BIGINT) AS subject_concept_id,
+            COUNT(*) AS members FROM ({COHORT}) c GROUP BY cohort_definition_id""",
+    "unmapped_conditions": f"""{_CONDITION_MAPPED}
+        SELECT DISTINCT condition_source_value, condition_source_concept_id, condition_concept_id, vocabulary_id, type_concept
+        FROM g WHERE condition_source_value IN
+            (SELECT condition_source_value FROM g WHERE condition_concept_id IS NULL OR condition_concept_id = 0)""",
+    "vocabulary_load": """SELECT CAST(p_partkey AS BIGINT) AS concept_id, '5" ' || p_name || ' "x' AS concept_name,
+        p_brand AS vocabulary_id, 'C' || CAST(p_partkey AS VARCHAR) AS concept_code, DATE '1970-01-01' AS valid_start_date
+        FROM part""",
+    "parquet_roundtrip": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
+    "coerced_dates": """SELECT o_orderkey,
+        CASE WHEN o_orderkey % 10 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS fec,
+        CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS fin FROM orders""",
+    "csv_ingest_hard": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, '"; ' || replace(text, '.', '."";') || '"' AS text
+        FROM documents""",
+})

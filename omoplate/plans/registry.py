@@ -12,8 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from omoplate.functions.text import normalize_text
+from omoplate.operators import conform as cf
 from omoplate.operators import intervals as iv
 from omoplate.operators import quality as qa
 from omoplate.operators import visits as vi
@@ -257,10 +259,10 @@ COHORT_PARAMS = {"cohorts": {
                 "subject_concept_id": 1147314, "definition_type_concept_id": 32882,
                 "cohort_start_date": "2018-01-01", "cohort_end_date": "2023-12-01"},
 }}
-CDM_SOURCE_FIELDS = {"cdm_source_name": "omoplate", "cdm_source_abbreviation": "omoplate", "cdm_holder": "FPS",
+CDM_SOURCE_FIELDS = {"cdm_source_name": "omoplate", "cdm_source_abbreviation": "omoplate", "cdm_holder": "Example holder",
                      "source_description": "OMOP instance built from the benchmark tables",
-                     "cdm_etl_reference": "v1.0", "cdm_release_date": "2025-01-21", "cdm_version": "5.4",
-                     "cdm_version_concept_id": 756265, "vocabulary_version": "v20240830"}
+                     "cdm_etl_reference": "etl-7", "cdm_release_date": "2024-03-04", "cdm_version": "5.4",
+                     "cdm_version_concept_id": 756265, "vocabulary_version": "vocabulary-3"}
 STANDARDISE_PARAMS = {"person_columns": {"orders": "NUHSA"}, "date_columns": {"orders": ["fec_fin", "fec_ini"]},
                       "type_concept_mapping": {"orders": 32817}}
 
@@ -321,7 +323,7 @@ def q_csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     opts = dl.probe_read_options(spark, folder, READ_CANDIDATES, checks=[dl.check_id_column])
     head = dl.read_delimited(spark, folder, opts)
     chosen, _ = dl.probe_date_formats(head, dl.find_date_columns(head.columns), DATE_FORMATS)
-    return dl.apply_modifications(spark, {"orders": folder}, {"orders": {"read": opts, "dates": chosen}})["orders"]
+    return dl.ingest_files(spark, {"orders": folder}, {"orders": {"read": opts, "dates": chosen}})["orders"]
 
 
 def q_normalize_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -346,6 +348,8 @@ def q_fk_check(spark: SparkSession, sf: str) -> DataFrame:
               qa.fk_violations(t("lineitem"), "l_suppkey", t("supplier"), "s_suppkey", "lineitem"),
               qa.fk_violations(t("orders"), "o_custkey", t("customer"), "c_custkey", "orders"),
               qa.fk_violations(t("events"), "user_id", t("customer"), "c_custkey", "events"),
+              # every event that is no view dangles here
+              qa.fk_violations(t("events"), "event_id", td.visits(spark, sf), "visit_occurrence_id", "events"),
               qa.fk_violations(q_person(spark, sf), "location_id", q_location(spark, sf), "location_id", "PERSON")]
     out = checks[0]
     for c in checks[1:]:
@@ -399,3 +403,114 @@ def q_shipment_visit_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES["shipment_visit_lookup"] = q_shipment_visit_lookup
+
+
+# -- operators that no table pipeline above uses --------------------------------------
+
+
+LINE_SCHEMA = T.StructType([
+    T.StructField("order_id", T.LongType(), False), T.StructField("line", T.LongType(), False),
+    T.StructField("vocabulary_id", T.StringType(), False), T.StructField("quantity", T.DoubleType(), True),
+    T.StructField("score", T.DoubleType(), False), T.StructField("note", T.StringType(), True)])
+
+
+def q_conform_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Rename, set the vocabulary, fill, reorder and cast to a schema."""
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = cf.rename_strict(li, {"l_orderkey": "order_id", "l_linenumber": "line", "l_quantity": "quantity"})
+    return cf.format_table(cf.set_vocabulary(li, "LINES"), LINE_SCHEMA)
+
+
+def q_transform_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Transformations applied by name, one after the other."""
+    return iv.apply_transformations(td.intervals(spark, sf), ["remove_end_date", "melt_start_end"])
+
+
+def q_gender(spark: SparkSession, sf: str) -> DataFrame:
+    """Gender concept from a code column."""
+    c = td.table(spark, sf, "customer").select(
+        "c_custkey", (F.col("c_nationkey") % 2).cast("long").alias("code"),
+        F.when(F.col("c_nationkey") % 2 == 0, "even").otherwise("odd").alias("label"))
+    return vo.transform_gender(c, "code", "label", {0: 8507, 1: 8532}).select(
+        "c_custkey", F.col("gender_concept_id").cast("long").alias("gender_concept_id"),
+        "gender_source_concept_id", "gender_source_value")
+
+
+def q_provider_link(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line item's supplier as provider."""
+    li = td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("sid"))
+    li = li.withColumn("sid", F.when(F.col("l_linenumber") < 7, F.col("sid")))
+    return visit_occurrence.link_provider(li, q_provider(spark, sf), "sid", "provider_source_value")
+
+
+def q_cohort_definition(spark: SparkSession, sf: str) -> DataFrame:
+    """The definitions, each with the date of the last order of its members."""
+    people = td.sociodemo(spark, sf)
+    files = {"building": people.filter(F.col("c_mktsegment") == "BUILDING"),
+             "machinery": people.filter(F.col("c_mktsegment") == "MACHINERY"), "no_file": None}
+    cohort, definition = dims.cohort(spark, files, COHORT_PARAMS)
+    sizes = cohort.groupBy("cohort_definition_id").agg(F.count(F.lit(1)).alias("members"))
+    return definition.join(sizes, "cohort_definition_id").select(
+        "cohort_definition_id", "cohort_definition_name", "definition_type_concept_id", "subject_concept_id", "members")
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_unmapped_conditions(spark: SparkSession, sf: str) -> DataFrame:
+    """T7's second output through S8: the report as CSV, read back."""
+    files = {"dx": td.clinical_records(spark, sf).drop("l_linenumber", "l_quantity", "l_partkey")}
+    _, report = condition_occurrence.build(files, CONDITION_PARAMS, td.concept(spark, sf),
+                                           td.concept_relationship(spark, sf))
+    folder = _folder(spark, "report")
+    dl.write_report(report, folder)
+    return dl.read_delimited(spark, folder).select(
+        "condition_source_value", *(F.col(c).cast("long").alias(c) for c in ("condition_source_concept_id", "condition_concept_id")),
+        "vocabulary_id", F.col("type_concept").cast("long").alias("type_concept"))
+
+
+VOCABULARY_SCHEMA = "concept_id long, concept_name string, vocabulary_id string, concept_code string, valid_start_date date"
+
+
+def q_vocabulary_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts as a tab-separated vocabulary file with quotes in the names, read with its schema."""
+    part = td.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("long").alias("concept_id"),
+        F.concat(F.lit('5" '), "p_name", F.lit(' "x')).alias("concept_name"), F.col("p_brand").alias("vocabulary_id"),
+        F.concat(F.lit("C"), F.col("p_partkey").cast("string")).alias("concept_code"), F.lit("19700101").alias("valid_start_date"))
+    folder = _folder(spark, "vocabulary")
+    part.write.option("sep", "\t").option("header", True).option("quote", "\u0008").csv(folder)
+    return dl.read_vocabulary(spark, folder, T.StructType.fromDDL(VOCABULARY_SCHEMA))
+
+
+def q_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """The line items written and read back."""
+    folder = _folder(spark, "table")
+    dl.write_parquet(td.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"), folder)
+    return spark.read.parquet(folder)
+
+
+def q_coerced_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """D2 and the automatic retry: dates of which every tenth order's does not parse."""
+    o = td.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, F.lit("unknown")).otherwise(
+        F.date_format("o_orderdate", "dd/MM/yyyy")).alias("fec"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("fin"))
+    return dl.parse_dates(o, dl.settle_dates(o, {"fec": "%d/%m/%Y", "fin": "%Y-%m-%d"}))
+
+
+def q_csv_ingest_hard(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 on whole document texts: separators, doubled quotes and line breaks inside quoted fields."""
+    folder = _folder(spark, "texts")
+    docs = td.table(spark, sf, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.concat(F.lit('"; '), F.regexp_replace("text", r"\.", '."";'), F.lit('"')).alias("text"))
+    docs.write.options(header=True, sep=";", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
+                       ignoreTrailingWhiteSpace=False).csv(folder)
+    return dl.read_delimited(spark, folder, {"sep": ";", "multiline": True})
+
+
+QUERIES.update({"conform_schema": q_conform_schema, "transform_registry": q_transform_registry, "gender": q_gender,
+                "provider_link": q_provider_link, "cohort_definition": q_cohort_definition,
+                "unmapped_conditions": q_unmapped_conditions, "vocabulary_load": q_vocabulary_load,
+                "parquet_roundtrip": q_parquet_roundtrip, "coerced_dates": q_coerced_dates,
+                "csv_ingest_hard": q_csv_ingest_hard})

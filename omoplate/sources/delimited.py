@@ -6,6 +6,7 @@ import itertools
 import re
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,14 @@ from omoplate.functions.text import ID_COLUMN_MARKERS, matches_id_format
 # Reader option names of the configuration files and the Spark
 # CSV option each becomes.
 OPTION_NAMES = {"sep": "sep", "delimiter": "sep", "encoding": "encoding", "quotechar": "quote",
-                "escapechar": "escape", "comment": "comment", "na_values": "nullValue"}
+                "escapechar": "escape", "comment": "comment", "multiline": "multiLine"}
+# Options that change nothing in a read where every column is text and is pruned by use.
+NEUTRAL_OPTIONS = ("dtype", "nrows", "usecols", "low_memory", "engine", "decimal", "thousands", "keep_default_na",
+                   "na_values", "on_bad_lines")
+# Spellings that count as missing unless keep_default_na is off.
+NA_SPELLINGS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+SURPLUS = "_surplus_field"
 # Python codec aliases Spark does not know by that name.
 ENCODING_ALIASES = {"latin9": "ISO-8859-15", "latin-9": "ISO-8859-15", "latin1": "ISO-8859-1",
                     "latin-1": "ISO-8859-1", "utf8": "UTF-8", "utf-8": "UTF-8", "cp1252": "windows-1252"}
@@ -25,18 +33,19 @@ DATE_WORDS = ("fecha", "fec", "inicio", "fin", "f_")
 
 
 def spark_csv_options(options: Mapping) -> dict[str, str]:
-    out = {"header": "true", "inferSchema": "false"}
+    """Spark options; quotes are doubled inside quoted fields unless an escape character is given."""
+    out = {"header": "true", "inferSchema": "false", "quote": '"', "escape": '"'}
     for key, value in options.items():
         if key == "header":
             out["header"] = "true" if value in (0, True, "infer") else "false"
             continue
-        if key in ("dtype", "nrows", "usecols", "low_memory"):
+        if key in NEUTRAL_OPTIONS:
             continue
         if key not in OPTION_NAMES:
-            raise ValueError(f"unsupported read option {key!r}")
+            raise ValueError(f"no Spark equivalent of the read option {key!r}")
         if key == "encoding":
             value = ENCODING_ALIASES.get(str(value).lower(), value)
-        out[OPTION_NAMES[key]] = str(value)
+        out[OPTION_NAMES[key]] = str(value).lower() if isinstance(value, bool) else str(value)
     return out
 
 
@@ -44,18 +53,75 @@ def spark_csv_options(options: Mapping) -> dict[str, str]:
 STANDARD_CHARSETS = {"iso-8859-1", "us-ascii", "utf-16", "utf-16be", "utf-16le", "utf-32", "utf-8"}
 
 
+def _latin1_differences(encoding: str) -> tuple[str, str]:
+    """Characters of Latin-1 and what their bytes mean in another single-byte encoding."""
+    pairs = []
+    for b in range(128, 256):
+        try:
+            c = bytes([b]).decode(encoding)
+        except UnicodeDecodeError:  # the byte has no meaning there
+            continue
+        if len(c) != 1:
+            raise ValueError(f"{encoding} is not a single-byte encoding")
+        if c != chr(b):
+            pairs.append((chr(b), c))
+    if len(pairs) == 0 and bytes(range(128)).decode(encoding) != bytes(range(128)).decode("ascii"):
+        raise ValueError(f"{encoding} does not extend ASCII")
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def _missing_values(options: Mapping) -> list[str]:
+    own = options.get("na_values") or []
+    own = [own] if isinstance(own, str) else [str(v) for v in own]
+    return own + (list(NA_SPELLINGS) if options.get("keep_default_na", True) else [])
+
+
 def read_delimited(spark: SparkSession, path: str, options: Mapping | None = None, strict: bool = False) -> DataFrame:
-    """S1 (read): every column as text. ``strict`` makes malformed rows fail.
+    """S1 (read): every column as text.
 
-    Other Java charsets (e.g. ISO-8859-15 for ``latin9``) need
-    ``spark.sql.legacy.javaCharsets``, which is switched on for the session.
+    A row with more fields than the header fails the job when it is read,
+    or is left out with ``on_bad_lines: skip``; missing fields at the end
+    are null, and so are the spellings of ``na_values`` and, unless
+    ``keep_default_na`` is off, of ``NA_SPELLINGS``. ``multiline`` allows
+    line breaks in quoted fields; such a file is read by one task, so it is
+    not the default. ``strict`` makes rows with too few fields fail too.
+
+    Other single-byte encodings (``latin9``, ``cp1252``) are read as Latin-1,
+    and the characters that differ are then replaced.
     """
-    opts = spark_csv_options(options or {})
+    options = options or {}
+    opts = spark_csv_options(options)
+    read_as, meant = "", ""
     if opts.get("encoding", "utf-8").lower() not in STANDARD_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+        read_as, meant = _latin1_differences(opts["encoding"])
+        opts["encoding"] = "ISO-8859-1"
+    letters = str.maketrans(read_as, meant)
+    head = T.StructType([T.StructField(f.name.translate(letters), T.StringType())
+                         for f in spark.read.options(**opts).csv(path).schema.fields])
     if strict:
         opts["mode"] = "FAILFAST"
-    return spark.read.options(**opts).csv(path)
+        rows = spark.read.options(**opts).schema(head).csv(path)
+        return rows.select(*(F.translate(F.col(f"`{c}`"), read_as, meant).alias(c) if read_as else F.col(f"`{c}`")
+                             for c in rows.columns))
+    wide = T.StructType([*head.fields, T.StructField(SURPLUS, T.StringType())])
+    rows = spark.read.options(**opts).schema(wide).csv(path)
+    if read_as:
+        rows = rows.select(*(F.translate(F.col(f"`{c}`"), read_as, meant).alias(c) for c in rows.columns))
+    surplus = F.col(SURPLUS).isNotNull()
+    if options.get("on_bad_lines") == "skip":
+        rows = rows.filter(~surplus)
+        checked = None
+    else:
+        checked = F.raise_error(F.concat(F.lit("row with more fields than the header, the first of them: "), SURPLUS))
+    missing = _missing_values(options)
+    names = [c for c in rows.columns if c != SURPLUS]
+    cols = []
+    for i, c in enumerate(names):
+        value = F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`"))
+        if checked is not None:  # on every column, so that no projection prunes the check away
+            value = F.when(surplus, checked.cast("string")).otherwise(value)
+        cols.append(value.alias(c))
+    return rows.select(*cols)
 
 
 def parse_dates(df: DataFrame, formats: Mapping[str, str | Mapping]) -> DataFrame:
@@ -68,22 +134,39 @@ def parse_dates(df: DataFrame, formats: Mapping[str, str | Mapping]) -> DataFram
     return df.withColumns(cols) if cols else df
 
 
+def settle_dates(df: DataFrame, formats: Mapping[str, str | Mapping]) -> dict[str, dict]:
+    """D2, the automatic retry: a column with a value that its format does not parse is coerced.
+
+    One aggregate over all rows decides. Returns ``{column: {"format", "errors"}}``.
+    """
+    specs = {c: ({"format": s, "errors": "raise"} if isinstance(s, str) else {"errors": "raise", **s})
+             for c, s in formats.items()}
+    strict = [c for c, s in specs.items() if s["errors"] != "coerce"]
+    if not strict:
+        return specs
+    bad = df.agg(*[F.count_if(F.col(c).isNotNull() & try_parse_datetime(c, specs[c]["format"]).isNull()).alias(f"b{i}")
+                   for i, c in enumerate(strict)]).collect()[0]
+    return {c: ({**s, "errors": "coerce"} if c in strict and bad[f"b{strict.index(c)}"] else s) for c, s in specs.items()}
+
+
 def write_parquet(df: DataFrame, path: str) -> None:
     """One directory per table, replaced on every run."""
     df.write.mode("overwrite").parquet(path)
 
 
-def apply_modifications(spark: SparkSession, files: Mapping[str, str], params: Mapping,
+def ingest_files(spark: SparkSession, files: Mapping[str, str], params: Mapping,
                         out_dir: str | None = None) -> dict[str, DataFrame]:
-    """Per file, read with its own options, parse its date columns, and
-    (when ``out_dir`` is given) write one parquet table per file.
+    """Per file, read with its own options, parse its date columns (those
+    with values that do not parse are coerced), and (when ``out_dir`` is
+    given) write one parquet table per file.
 
     ``params[name] = {"read": {...}, "dates": {column: format | spec}}``.
     """
     out = {}
     for name, path in files.items():
         cfg = params.get(name, {})
-        df = parse_dates(read_delimited(spark, path, cfg.get("read")), cfg.get("dates", {}))
+        df = read_delimited(spark, path, cfg.get("read"))
+        df = parse_dates(df, settle_dates(df, cfg.get("dates", {})))
         if out_dir:
             target = f"{out_dir.rstrip('/')}/{name}"
             write_parquet(df, target)
@@ -92,15 +175,18 @@ def apply_modifications(spark: SparkSession, files: Mapping[str, str], params: M
     return out
 
 
+# Error conditions of a read that meets malformed rows.
+MALFORMED = ("FAILED_READ_FILE", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD")
+
 # -- S2 -----------------------------------------------------------------------
 
 def check_id_column(df: DataFrame) -> None:
     """The first column is the person id (name and format)."""
     first = df.columns[0]
     if not any(m in first.upper() for m in ID_COLUMN_MARKERS):
-        raise AssertionError("First column name does not contain 'NUHSA'")
+        raise AssertionError(f"the first column, {first}, is not named like a person id")
     if df.filter(~matches_id_format(first)).limit(1).count():
-        raise AssertionError("First column values do not match the id format")
+        raise AssertionError(f"{first} has values that are no person ids")
 
 
 def probe_read_options(spark: SparkSession, path: str, candidates: Mapping[str, Sequence],
@@ -119,17 +205,16 @@ def probe_read_options(spark: SparkSession, path: str, candidates: Mapping[str,
             sample = read_delimited(spark, path, opts, strict=True).limit(n_rows)
             sample = spark.createDataFrame(sample.collect(), sample.schema)  # n_rows rows, by contract
             if len(sample.columns) <= 1:
-                raise AssertionError("Only one column read.")
+                raise AssertionError("the separator leaves a single column")
             for check in checks:
                 check(sample)
             return opts
         except (AssertionError, ValueError):
             continue
-        except Exception as exc:  # noqa: BLE001 - a malformed read under FAILFAST
-            if "Malformed" in str(exc) or "MALFORMED" in str(exc) or "CSV" in str(exc):
-                continue
-            raise
-    raise AssertionError(f"{path} was not read successfully. Params tried: {tried}")
+        except PySparkException as exc:  # a malformed read under FAILFAST
+            if (exc.getCondition() or "").split(".")[0] not in MALFORMED:
+                raise
+    raise AssertionError(f"no combination of options reads {path}: {tried}")
 
 
 # -- S3 -----------------------------------------------------------------------
@@ -144,19 +229,20 @@ def find_date_columns(columns: Sequence[str], words: Sequence[str] = DATE_WORDS)
 # -- S4 -----------------------------------------------------------------------
 
 def probe_date_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[str],
-                       n_rows: int = 1000) -> tuple[dict, dict]:
-    """Per column, the first format that parses every sampled value;
-    if none does, the first format in coercing mode.
+                       n_rows: int | None = None) -> tuple[dict, dict]:
+    """Per column, the first format that parses every value; if none
+    does, the first format in coercing mode.
 
-    One aggregate over the first ``n_rows`` rows counts, for every (column,
-    format), the non-null values that fail to parse. Returns
+    One aggregate over all rows (or, if asked for, the first ``n_rows``)
+    counts, for every (column, format), the non-null values that fail to
+    parse. Returns
     ``({column: {"format", "errors"}}, {column: {"format", "errors",
     "nulls"}})`` - the second lists the columns that need coercion and how
-    many of the sampled values end up null.
+    many of the values end up null.
     """
     if not columns or not formats:
         return {c: None for c in columns}, {}
-    sample = df.select(*columns).limit(n_rows)
+    sample = df.select(*columns) if n_rows is None else df.select(*columns).limit(n_rows)
     aggs = []
     for i, c in enumerate(columns):
         for j, fmt in enumerate(formats):

@@ -82,3 +82,9 @@ def test_dense_key_is_dense_and_ordered(spark):
     assert all(r.key == r.k for r in out)
     one = cf.dense_key(df.limit(0), "key", ["k"])
     assert one.count() == 0
+
+
+def test_dense_key_ties_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(1, x) for x in "dbca"] + [(0, "z")], "k long, v string")
+    keys = [{r.v: r.key for r in cf.dense_key(df, "key", ["k"], num_partitions=n).collect()} for n in (1, 2, 5)]
+    assert keys[0] == keys[1] == keys[2] == {"z": 0, "a": 1, "b": 2, "c": 3, "d": 4}

@@ -37,7 +37,7 @@ def test_probe_read_and_dates(spark, raw_csv):
     assert dates == ["fecha_inicio", "fec_fin"]
     chosen, coerced = dl.probe_date_formats(df, dates, ["%Y-%m-%d", "%d/%m/%Y"])
     assert chosen["fecha_inicio"] == {"format": "%d/%m/%Y", "errors": "raise"} and coerced == {}
-    out = dl.apply_modifications(spark, {"v": raw_csv}, {"v": {"read": opts, "dates": chosen}})["v"]
+    out = dl.ingest_files(spark, {"v": raw_csv}, {"v": {"read": opts, "dates": chosen}})["v"]
     r = out.orderBy("NUHSA").collect()
     assert r[0].fecha_inicio == dt.datetime(2020, 2, 1) and r[2].fecha_inicio is None
     assert r[0].servicio == "Cardiología"
@@ -167,3 +167,44 @@ def test_validate_cdm_date_rules(spark):
            if r.check == "date"}
     assert got == {("date", "OBSERVATION_PERIOD", "end_before_start", 1),
                    ("date", "OBSERVATION_PERIOD", "start_before_birth", 1)}
+
+
+def _read(spark, tmp_path, text, **options):
+    (tmp_path / "x.csv").write_text(text, encoding=options.pop("write_as", "utf-8"), newline="")
+    return [tuple(r) for r in dl.read_delimited(spark, str(tmp_path / "x.csv"), {"sep": ";", **options}).collect()]
+
+
+def test_quoted_fields(spark, tmp_path):
+    text = 'a;b\n"x;""y"" z";1\n"line1\nline2";2\n'
+    assert _read(spark, tmp_path, text, multiline=True) == [('x;"y" z', "1"), ("line1\nline2", "2")]
+
+
+def test_surplus_fields_fail_or_are_skipped(spark, tmp_path):
+    text = "a;b\n1;2\n3;4;EXTRA\n5\n"
+    with pytest.raises(Exception, match="EXTRA"):
+        _read(spark, tmp_path, text)
+    assert _read(spark, tmp_path, text, on_bad_lines="skip") == [("1", "2"), ("5", None)]
+
+
+def test_missing_value_spellings(spark, tmp_path):
+    text = "a;b\nNA;NULL\nnan;-\n"
+    assert _read(spark, tmp_path, text) == [(None, None), (None, "-")]
+    assert _read(spark, tmp_path, text, na_values=["-"], keep_default_na=False) == [("NA", "NULL"), ("nan", None)]
+
+
+def test_single_byte_encodings_leave_the_session_alone(spark, tmp_path):
+    before = spark.conf.get("spark.sql.legacy.javaCharsets", "false")
+    text = "a\u0160;b\n\u20ac;\u0153\n"
+    assert _read(spark, tmp_path, text, encoding="latin9", write_as="latin9") == [("\u20ac", "\u0153")]
+    assert _read(spark, tmp_path, text, encoding="cp1252", write_as="cp1252") == [("\u20ac", "\u0153")]
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == before
+
+
+def test_a_late_bad_date_is_seen_and_coerced(spark):
+    rows = [(f"{1 + i % 28:02d}/01/2020",) for i in range(1500)] + [("not a date",)]
+    df = spark.createDataFrame(rows, "d string").coalesce(1)
+    chosen, coerced = dl.probe_date_formats(df, ["d"], ["%d/%m/%Y", "%Y-%m-%d"])
+    assert chosen["d"] == {"format": "%d/%m/%Y", "errors": "coerce"} and coerced["d"]["nulls"] == 1
+    assert dl.settle_dates(df, {"d": "%d/%m/%Y"}) == {"d": {"format": "%d/%m/%Y", "errors": "coerce"}}
+    assert dl.settle_dates(df.limit(1500), {"d": "%d/%m/%Y"})["d"]["errors"] == "raise"
+    assert dl.parse_dates(df, dl.settle_dates(df, {"d": "%d/%m/%Y"})).filter("d is null").count() == 1

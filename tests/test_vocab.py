@@ -66,7 +66,8 @@ def test_fallback_unmapped_value_kinds(spark, concept, rel):
                                 ("I10", "ICD10CM", None, None)],
                                "source_value string, vocabulary_id string, source_concept_id string, concept_id string")
     out, _ = vo.fallback_mapping(df, concept, rel, fb, "source_value", "source_concept_id", "concept_id")
-    assert {(r.source_concept_id, r.concept_id) for r in out.collect()} == {(44821949, 320128)}
+    # the text "0" is a value like any other; "" and null are unmapped
+    assert sorted((r.source_concept_id, r.concept_id) for r in out.collect()) == [(0, 0)] + [(44821949, 320128)] * 2
 
 
 def test_update_concept_mappings(spark):
@@ -152,7 +153,7 @@ def test_update_concept_mappings_reference_variants(spark):
     assert sorted(r.concept_id for r in out.collect()) == [111, 999, 999, 4092846]
     part = vo.update_concept_mappings(df, "source_value", "concept_id", {"X1": 999})
     assert sorted(r.concept_id for r in part.collect()) == [0, 0, 0, 4092846]
-    mixed = spark.createDataFrame([(1, "A"), (2, None), (3, "0")], "source_value long, concept_id string")
+    mixed = spark.createDataFrame([(1, "A"), (2, None), (3, "")], "source_value long, concept_id string")
     out = vo.update_concept_mappings(mixed, "source_value", "concept_id", {2: "B", 3: "C"})
     assert [r.concept_id for r in out.orderBy("source_value").collect()] == ["A", "B", "C"]
 
@@ -163,3 +164,33 @@ def test_map_source_value_by_code_reference(spark):
     df = spark.createDataFrame([("CLC", "CLC00229"), ("CLC", "CLC999")], "vocabulary_id string, source_value string")
     out = vo.map_source_value(df, {"CLC": "concept_code"}, concept)
     assert {r.source_value: r.source_concept_id for r in out.collect()} == {"CLC00229": 2000001178, "CLC999": None}
+
+
+def test_large_dictionary_behaves_like_a_small_one(spark, monkeypatch):
+    df = spark.createDataFrame([("1", 1), ("x", 2), (None, 3)], "sex_source_value string, n long")
+    for mapping in ({"1": "one", "x": "ex"}, {1: 10, 2: 20}):
+        small = vo.apply_source_mapping(df, {"sex_source_value": mapping})
+        with monkeypatch.context() as m:
+            m.setattr(vo, "INLINE_MAP_ENTRIES", 0)
+            large = vo.apply_source_mapping(df, {"sex_source_value": mapping})
+        assert dict(small.dtypes)["sex_concept_id"] == dict(large.dtypes)["sex_concept_id"]
+        assert sorted(map(str, small.collect())) == sorted(map(str, large.select(*small.columns).collect()))
+
+
+def test_composed_lookup_equals_two_steps(spark, concept, rel):
+    df = spark.createDataFrame([("ICD10CM", "I10"), ("ICD10CM", "none"), ("OTHER", "I10"), (None, None)],
+                               "vocabulary_id string, source_value string")
+    vocab = {"ICD10CM": "concept_code", "SNOMED": "concept_name"}
+    two = vo.map_source_concept_id(vo.map_source_value(df, vocab, concept), rel)
+    one = vo.map_to_standard(df, vocab, concept, rel, "source_value", "vocabulary_id", "source_concept_id", "concept_id")
+    assert sorted(map(str, two.collect())) == sorted(map(str, one.select(*two.columns).collect()))
+
+
+def test_order_column_decides_repeated_keys(spark):
+    concept = spark.createDataFrame([(5, "a", "V", "a", 1), (3, "a", "V", "a", 2)],
+                                    "concept_id long, concept_name string, vocabulary_id string, concept_code string, line long")
+    rel = spark.createDataFrame([(3, "Maps to", 30, 2), (3, "Maps to", 40, 1)],
+                                "concept_id_1 long, relationship_id string, concept_id_2 long, line long")
+    df = spark.createDataFrame([("V", "a")], "vocabulary_id string, source_value string")
+    out = vo.map_to_standard(df, {"V": "concept_code"}, concept, rel, "source_value", "vocabulary_id", "s", "c", "line")
+    assert [(r.s, r.c) for r in out.collect()] == [(3, 30)]
