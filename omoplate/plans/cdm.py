@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from omoplate.operators.quality import validate_cdm
 from omoplate.plans import (condition_occurrence, dimensions, drug_exposure, measurement, observation_period,
                             visit_occurrence)
-from omoplate.sources.delimited import write_parquet
+from omoplate.session import release_tables, tables_made
+from omoplate.sources.delimited import write_parquet, write_report
 
 
 def build_cdm(spark: SparkSession, inputs: Mapping[str, Mapping[str, DataFrame]], params: Mapping[str, Mapping],
@@ -21,10 +22,12 @@ def build_cdm(spark: SparkSession, inputs: Mapping[str, Mapping[str, DataFrame]]
     that table's configuration; ``vocabulary`` holds CONCEPT,
     CONCEPT_RELATIONSHIP and optionally the unit table (UNITS). With
     ``out_dir`` each table is written (S6) and read back before the tables
-    that depend on it are built, as separate stages of one run. Returns the
-    tables by name.
+    that depend on it are built, as separate stages of one run, the report of
+    unmapped conditions is written as CSV beside them, and the intermediate
+    tables of this build are deleted at the end. Returns the tables by name.
     """
     out: dict[str, DataFrame] = {}
+    before = tables_made()
 
     def done(name: str, df: DataFrame) -> DataFrame:
         if out_dir:
@@ -51,8 +54,10 @@ def build_cdm(spark: SparkSession, inputs: Mapping[str, Mapping[str, DataFrame]]
                                                         out.get("PROVIDER")))
     visits = out.get("VISIT_OCCURRENCE")
     if "CONDITION_OCCURRENCE" in inputs:
-        table, _ = condition_occurrence.build(inputs["CONDITION_OCCURRENCE"], p("CONDITION_OCCURRENCE"),
-                                              concept, rel, visits)
+        table, report = condition_occurrence.build(inputs["CONDITION_OCCURRENCE"], p("CONDITION_OCCURRENCE"),
+                                                   concept, rel, visits, report=out_dir is not None)
+        if out_dir:
+            write_report(report, f"{out_dir.rstrip('/')}/unmapped_conditions")
         done("CONDITION_OCCURRENCE", table)
     if "MEASUREMENT" in inputs:
         done("MEASUREMENT", measurement.build(inputs["MEASUREMENT"], p("MEASUREMENT"), concept, rel,
@@ -67,6 +72,8 @@ def build_cdm(spark: SparkSession, inputs: Mapping[str, Mapping[str, DataFrame]]
         done("COHORT_DEFINITION", definition)
     if "CDM_SOURCE" in params:
         done("CDM_SOURCE", dimensions.cdm_source(spark, params["CDM_SOURCE"]))
+    if out_dir:  # every result is written, so nothing reads the intermediate tables any more
+        release_tables(spark, before)
     return out
 
 

@@ -20,6 +20,9 @@ DEFAULT_CONF = {
 }
 
 
+_made: list[str] = []
+
+
 def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "omoplate") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     for k, v in DEFAULT_CONF.items():
@@ -64,4 +67,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(folder)
+    _made.append(folder)
     return spark.read.parquet(folder)
+
+
+def tables_made() -> int:
+    """How many tables ``cut_lineage`` has written in this process and not released."""
+    return len(_made)
+
+
+def release_tables(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that ``cut_lineage`` has written since ``tables_made()`` was ``since``.
+
+    For the end of a build whose results are written: DataFrames that
+    still read those tables fail afterwards. Returns how many went.
+    """
+    n = 0
+    while len(_made) > since:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        n += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return n

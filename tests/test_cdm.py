@@ -5,6 +5,7 @@ import tempfile
 
 from helpers import ts
 from omoplate.plans.cdm import build_cdm, check_cdm
+from omoplate.session import tables_made
 
 
 def test_build_cdm(spark):
@@ -38,7 +39,10 @@ def test_build_cdm(spark):
                                        "vocabulary_config": {"dx": {"ICD10CM": "concept_code"}}}}
     out_dir = tempfile.mkdtemp(prefix="omoplate-cdm-")
     vocab = {"CONCEPT": concept, "CONCEPT_RELATIONSHIP": rel}
+    before = tables_made()
     tables = build_cdm(spark, inputs, params, vocab, out_dir)
+    assert tables_made() == before  # its intermediate tables are gone
+    assert spark.read.csv(f"{out_dir}/unmapped_conditions", header=True).count() == 0
     assert set(tables) == {"LOCATION", "PERSON", "OBSERVATION_PERIOD", "VISIT_OCCURRENCE", "CONDITION_OCCURRENCE"}
     cond = tables["CONDITION_OCCURRENCE"].collect()[0]
     assert (cond.condition_concept_id, cond.visit_occurrence_id) == (320128, 0)
