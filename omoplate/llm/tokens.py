@@ -13,8 +13,8 @@ from array import array
 from collections.abc import Callable
 
 #: Entries of a worker's newer memory of pieces, and of letters; an older one as large is kept beside it.
-MOST_PIECES = 400_000
-MOST_LETTERS = 450_000
+MOST_PIECES = 120_000
+MOST_LETTERS = 250_000
 
 _ALONE = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
 _RUN = re.compile(r"\s\s")
