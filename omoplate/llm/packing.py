@@ -79,12 +79,12 @@ def slots(patterns: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, i
 
 
 def token_pieces(docs: DataFrame, path: str, pieces=spaced_words, sequence: int = SEQUENCE,
-                 end_id: int | None = END_ID) -> DataFrame:
+                 end_id: int | None = END_ID, memory: float = 1.0) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens``: every document's ids, with the end id, cut."""
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pieces)
+        coder = encoder(path, pieces, memory)
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
@@ -113,7 +113,7 @@ def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, path: str, pieces=spaced_words, sequence: int = SEQUENCE,
-                   end_id: int | None = END_ID) -> DataFrame:
+                   end_id: int | None = END_ID, memory: float = 1.0) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     Sequences are filled from offset 0 without gaps. A null or empty text
@@ -121,7 +121,7 @@ def pack_documents(docs: DataFrame, path: str, pieces=spaced_words, sequence: in
     itself. An empty table gives no rows; other columns are ignored.
     """
     spark = ready(docs.sparkSession)
-    written = cut_lineage(token_pieces(docs, path, pieces, sequence, end_id))
+    written = cut_lineage(token_pieces(docs, path, pieces, sequence, end_id, memory))
     counts = {r["length"]: r["count"] for r in written.groupBy("length").count().collect()}  # `sequence` rows at most
     first, at = {}, 0
     for length in sorted(counts):

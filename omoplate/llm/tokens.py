@@ -80,7 +80,7 @@ class PieceEncoder:
 
     PROBES = ("word", " Word", "ÀÉÎõüß", " straße", "x", " Zz", "ingeringtionation")
 
-    def __init__(self, path: str, pieces: Callable[[str], list]):
+    def __init__(self, path: str, pieces: Callable[[str], list], share: float = 1.0):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -88,7 +88,7 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
-        self.pieces, self.known, self.parts = pieces, Memory(MOST_PIECES), Memory(MOST_LETTERS)
+        self.pieces, self.known, self.parts = pieces, Memory(int(share * MOST_PIECES)), Memory(int(share * MOST_LETTERS))
         probes = [p if pieces is spaced_words else p.strip() for p in self.PROBES]
         whole = [self._library([p])[0] for p in probes]
         self.straight = None
@@ -145,9 +145,9 @@ class PieceEncoder:
 _encoders: dict = {}
 
 
-def encoder(path: str, pieces: Callable[[str], list]) -> PieceEncoder:
-    """This worker's encoder for a file."""
-    key = (path, pieces.__name__)
+def encoder(path: str, pieces: Callable[[str], list], share: float = 1.0) -> PieceEncoder:
+    """This worker's encoder for a file; ``share`` of the usual memory."""
+    key = (path, pieces.__name__, share)
     if key not in _encoders:
-        _encoders[key] = PieceEncoder(path, pieces)
+        _encoders[key] = PieceEncoder(path, pieces, share)
     return _encoders[key]
