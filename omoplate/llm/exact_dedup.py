@@ -7,12 +7,15 @@ and combined by shifting each by the length that follows it. Texts over
 ``LONG_BYTES`` are dealt out by chunk and their hashes summed; shorter
 ones are hashed where they were read.
 
+The rows are written once with a number of their own, since a doc_id may
+be missing or repeated; the number is a row's identity in all that follows.
 Texts of equal length and fingerprint are then compared for real. Each
 group's chunks are sorted behind the chunk of the text that would stay
 (the largest doc_id) and compared in one pass that holds one chunk at a
 time. A group of many copies is salted, so that no task gets more than
 about ``COPIES_PER_TASK`` copies of a chunk. Texts that only share a
-fingerprint go through another round among themselves.
+fingerprint go through another round among themselves; the text that a
+round holds the others against is settled by it, so the rounds end.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from omoplate.llm.common import broadcast_if_small, cut_lineage, doc_texts, drop_ids, ready, table
+from omoplate.llm.common import broadcast_if_small, cut_lineage, drop_ids, ready, table
 
 CHUNK_BYTES = 1 << 14
 LONG_BYTES = 1 << 22
@@ -74,8 +77,19 @@ def _chunk_rows(df: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
             .withColumn("chunk", F.expr(f"substring(data, chunk_no * {chunk} + 1, {chunk})")).drop("data"))
 
 
-def fingerprints(docs: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -> DataFrame:
-    """``doc_id, n_bytes, h1, h2, text_sha256`` for every row of ``docs``."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc``: the rows of ``docs``, written once, each with a number of its own."""
+    return cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, text`` of numbered rows; a null text counts as empty."""
+    return rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("text"))
+
+
+def fingerprints(rows: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -> DataFrame:
+    """``row, doc_id, n_bytes, h1, h2, text_sha256`` for every one of the numbered rows."""
     (p1, _), (p2, _) = moduli
     poly = Polynomials(moduli)
 
@@ -87,62 +101,74 @@ def fingerprints(docs: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -
     def share(chunk: pd.Series, after: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([poly.shifted(x, n) for x, n in zip(chunk, after)], columns=["h1", "h2"], dtype="int64")
 
-    base = doc_texts(docs).select("doc_id", F.col("text").cast("binary").alias("data"),
-                                  F.octet_length("text").cast("long").alias("n_bytes"),
-                                  F.sha2("text", 256).alias("text_sha256"))
-    columns = ["doc_id", "n_bytes", "h.h1", "h.h2", "text_sha256"]
+    base = _texts(rows).select("row", "doc_id", F.col("text").cast("binary").alias("data"),
+                               F.octet_length("text").cast("long").alias("n_bytes"),
+                               F.sha2("text", 256).alias("text_sha256"))
+    columns = ["row", "doc_id", "n_bytes", "h.h1", "h.h2", "text_sha256"]
     short = base.filter(F.col("n_bytes") <= long_bytes).withColumn("h", whole("data")).select(*columns)
-    # row_no lives within this one plan: it only brings the chunks of a row together again
-    chunks = _chunk_rows(base.filter(F.col("n_bytes") > long_bytes)
-                         .withColumn("row_no", F.monotonically_increasing_id()))
+    chunks = _chunk_rows(base.filter(F.col("n_bytes") > long_bytes))
     after = F.greatest(F.lit(0), F.col("n_bytes") - (F.col("chunk_no") + 1) * CHUNK_BYTES)
-    parts = (chunks.repartition("row_no", "chunk_no").withColumn("h", share("chunk", after))
-             .groupBy("row_no", "doc_id", "n_bytes", "text_sha256")
+    parts = (chunks.repartition("row", "chunk_no").withColumn("h", share("chunk", after))
+             .groupBy("row", "doc_id", "n_bytes", "text_sha256")
              .agg((F.sum("h.h1") % p1).alias("h1"), (F.sum("h.h2") % p2).alias("h2")))
-    return short.unionByName(parts.select("doc_id", "n_bytes", "h1", "h2", "text_sha256"))
+    return short.unionByName(parts.select("row", "doc_id", "n_bytes", "h1", "h2", "text_sha256"))
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (group, salt, chunk_no, member): the first chunk of each such key is the one
+    """Rows sorted by (keep_row, salt, chunk_no, member): the first chunk of each such key is the one
     that the rest are held against."""
     key, held = None, None
     for b in batches:
-        cols = [b.column(n).to_pylist() for n in ("keep_id", "h1", "h2", "n_bytes", "salt", "chunk_no")]
+        cols = [b.column(n).to_pylist() for n in ("keep_row", "salt", "chunk_no")]
         chunk, out = b.column("chunk"), []
         for i, k in enumerate(zip(*cols)):
             x = chunk[i].as_py()
             if k != key:
                 key, held = k, x
             out.append(x == held)
-        yield pa.RecordBatch.from_arrays(
-            [b.column(n) for n in ("doc_id", "keep_id", *FINGERPRINT)] + [pa.array(out), b.column("counts")],
-            names=["doc_id", "keep_id", *FINGERPRINT, "same", "counts"])
-
-
-def _compared(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (doc_id, fingerprint, keep_id, n) held against the text of keep_id, chunk by chunk:
-    ``doc_id, keep_id, fingerprint, same, n_rows``."""
-    text = doc_texts(docs).select("doc_id", F.col("text").cast("binary").alias("data"),
-                                  F.octet_length("text").cast("long").alias("n_bytes"))
-    m = broadcast_if_small(members)
-    both = text.join(m, text["doc_id"].eqNullSafe(m["doc_id"]) & (text["n_bytes"] == m["n_bytes"])).select(
-        text["doc_id"], "data", text["n_bytes"], "h1", "h2", "keep_id", "n")
+        yield pa.RecordBatch.from_arrays([b.column("row"), b.column("keep_row"), pa.array(out), b.column("counts")],
+                                         names=["row", "keep_row", "same", "counts"])
+
+
+def _compared(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``members`` (row, keep_row, n) held against the text of keep_row, chunk by chunk: ``row, keep_row, same``."""
+    text = _texts(rows).select("row", F.col("text").cast("binary").alias("data"),
+                               F.octet_length("text").cast("long").alias("n_bytes"))
+    both = text.join(broadcast_if_small(members), "row")
     salts = F.ceil(F.col("n") / COPIES_PER_TASK).cast("int")
-    first = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    first = F.col("row") == F.col("keep_row")
     both = both.withColumn("member", ~first).withColumn(
         "salt", F.explode(F.when(first, F.sequence(F.lit(0), salts - 1))
-                          .otherwise(F.array(F.pmod(F.xxhash64("doc_id"), salts).cast("int")))))
+                          .otherwise(F.array(F.pmod(F.xxhash64("row"), salts).cast("int")))))
     # the text that stays goes to every salt; only salt 0 reports it
-    rows = _chunk_rows(both).withColumn("counts", F.col("member") | (F.col("salt") == 0))
-    dealt = rows.select("keep_id", *FINGERPRINT, "salt", "chunk_no", "member", "doc_id", "counts", "chunk").repartition(
-        "keep_id", "h1", "h2", "n_bytes", "salt", "chunk_no").sortWithinPartitions(
-        "keep_id", "h1", "h2", "n_bytes", "salt", "chunk_no", "member")
-    verdicts = dealt.mapInArrow(_compare, "doc_id long, keep_id long, n_bytes long, h1 long, h2 long, same boolean, "
-                                          "counts boolean").filter("counts")
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / CHUNK_BYTES))
-    return (verdicts.groupBy("doc_id", "keep_id", *FINGERPRINT)
-            .agg(F.min("same").alias("same"), F.count(F.lit(1)).alias("rows"))
-            .withColumn("n_rows", (F.col("rows") / n_chunks).cast("long")).drop("rows"))
+    dealt = _chunk_rows(both).withColumn("counts", F.col("member") | (F.col("salt") == 0))
+    dealt = dealt.select("keep_row", "salt", "chunk_no", "member", "row", "counts", "chunk").repartition(
+        "keep_row", "salt", "chunk_no").sortWithinPartitions("keep_row", "salt", "chunk_no", "member")
+    verdicts = dealt.mapInArrow(_compare, "row long, keep_row long, same boolean, counts boolean").filter("counts")
+    return verdicts.groupBy("row", "keep_row").agg(F.min("same").alias("same"))
+
+
+def _marks(rows: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -> DataFrame:
+    """One line per numbered row: ``row, doc_id, text_sha256, keep_row, keep_id, group_size``. keep_row is one
+    row of the largest doc_id among the equal texts; all three last are null where no other text is equal."""
+    prints = cut_lineage(fingerprints(rows, moduli, long_bytes))
+    left, settled = prints.select("row", "doc_id", *FINGERPRINT), None
+    while True:
+        # a null doc_id sorts lowest
+        groups = left.groupBy(*FINGERPRINT).agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("n"))
+        groups = groups.filter("n > 1" if settled is None else "n > 0").select(
+            *FINGERPRINT, "n", F.col("keep.row").alias("keep_row"), F.col("keep.doc_id").alias("keep_id"))
+        members = cut_lineage(left.join(groups, list(FINGERPRINT)))
+        found = cut_lineage(_compared(rows, members.select("row", "keep_row", "n")))
+        same = found.filter("same").join(members.select("row", "keep_id"), "row").select("row", "keep_row", "keep_id")
+        settled = same if settled is None else settled.unionByName(same)
+        other = found.filter(~F.col("same")).select("row")
+        if other.isEmpty():
+            break
+        left = members.select("row", "doc_id", *FINGERPRINT).join(other, "row", "left_semi")
+    sizes = settled.groupBy(F.col("keep_row").alias("z")).agg(F.count(F.lit(1)).alias("group_size"))
+    settled = settled.join(sizes, F.col("keep_row") == F.col("z")).select("row", "keep_row", "keep_id", "group_size")
+    return prints.select("row", "doc_id", "text_sha256").join(settled, "row", "left")
 
 
 def exact_groups(docs: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -> DataFrame:
@@ -156,27 +182,8 @@ def exact_groups(docs: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -
     ignored.
     """
     ready(docs.sparkSession)
-    prints = cut_lineage(fingerprints(docs, moduli, long_bytes))
-    left, settled = prints.select("doc_id", *FINGERPRINT), None
-    while True:
-        groups = left.groupBy(*FINGERPRINT).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
-        members = left.join(groups.filter("n > 1"), list(FINGERPRINT)).distinct()
-        found = cut_lineage(_compared(docs, members))
-        same = found.filter("same").select("doc_id", *FINGERPRINT, "keep_id", "n_rows")
-        settled = same if settled is None else settled.unionByName(same)
-        other = found.filter(~F.col("same"))
-        if other.isEmpty():
-            break
-        left = other.select("doc_id", *FINGERPRINT, F.explode(F.sequence(F.lit(1), F.col("n_rows").cast("int")))
-                            ).select("doc_id", *FINGERPRINT)
-    group = [*FINGERPRINT, "keep_id"]
-    sizes = settled.groupBy(*group).agg(F.sum("n_rows").alias("group_size")).select(
-        "group_size", *(F.col(c).alias(f"z_{c}") for c in group))
-    settled = settled.join(sizes, [F.col(c).eqNullSafe(F.col(f"z_{c}")) for c in group]).select(
-        "keep_id", "group_size", *(F.col(c).alias(f"s_{c}") for c in ("doc_id", *FINGERPRINT)))
-    on = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in ("doc_id", *FINGERPRINT)]
-    alone = F.col("group_size").isNull()
-    return prints.join(settled, on, "left").select(
+    alone = F.col("keep_row").isNull()
+    return _marks(numbered(docs.select("doc_id", "text")), moduli, long_bytes).select(
         "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
         F.when(alone, F.lit(True)).otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from conftest import documents
 from omoplate.llm import exact_dedup, simhash, superkmer
 from omoplate.llm.components import connected_components
 
@@ -35,6 +36,24 @@ def test_exact_groups(edge_docs, edge_rows, moduli, long_bytes):
     assert rows_of(got) == exact_by_hand(edge_rows)
 
 
+#: equally long different texts under a null and a repeated doc_id, each with a copy elsewhere
+SAME_LENGTH = [(None, "ab"), (None, "cd"), (7, "ab"), (None, "ef"), (None, "ef"), (5, "gh"), (5, "ij"), (5, "kl"), (9, "ij"), (3, "kl")]
+
+
+@pytest.mark.parametrize("moduli", [exact_dedup.MODULI, ((3, 2), (2, 1))])
+def test_exact_groups_of_equally_long_texts(spark, monkeypatch, moduli):
+    tables = []
+
+    def bounded(df):
+        tables.append(df)
+        assert len(tables) < 25, "the rounds do not end"
+        return cut_lineage(df)
+
+    cut_lineage = exact_dedup.cut_lineage
+    monkeypatch.setattr(exact_dedup, "cut_lineage", bounded)
+    assert rows_of(exact_dedup.exact_groups(documents(spark, SAME_LENGTH), moduli)) == exact_by_hand(SAME_LENGTH)
+
+
 def test_exact_empty_table(no_docs):
     assert exact_dedup.exact_groups(no_docs).count() == 0
     assert exact_dedup.drop_copies(no_docs).count() == 0
