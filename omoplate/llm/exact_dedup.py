@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from omoplate.llm.common import broadcast_if_small, cut_lineage, drop_ids, ready, table
+from omoplate.llm.common import broadcast_if_small, cut_lineage, ready, table
 
 CHUNK_BYTES = 1 << 14
 LONG_BYTES = 1 << 22
@@ -191,24 +191,12 @@ def exact_groups(docs: DataFrame, moduli=MODULI, long_bytes: int = LONG_BYTES) -
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each text: the largest doc_id. Rows that repeat a doc_id collapse."""
-    marks = cut_lineage(exact_groups(docs))
-    out = drop_ids(docs, marks.filter("not kept and doc_id is not null").select("doc_id").distinct())
-    again = marks.filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    unnamed = marks.filter("doc_id is null")
-    if not unnamed.isEmpty():
-        named = out.filter(F.col("doc_id").isNotNull())
-        free = marks.filter("doc_id is null and kept").select("text_sha256").distinct()
-        rest = docs.filter(F.col("doc_id").isNull()).select(
-            F.struct("*").alias("row"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-        rest = rest.join(free, "text_sha256", "left_semi").dropDuplicates(["text_sha256"])
-        out = named.unionByName(rest.select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns)))
-    if not again.isEmpty():
-        twice = broadcast_if_small(again)
-        once = out.join(twice, "doc_id", "left_anti").select(*docs.columns)
-        out = once.unionByName(out.join(twice, [out["doc_id"].eqNullSafe(twice["doc_id"])], "left_semi")
-                               .dropDuplicates(["doc_id"]).filter(F.col("doc_id").isNotNull()))
-    return out
+    """``docs`` with exactly one row of each distinct text: one of the largest doc_id. Rows that share a
+    doc_id, or lack one, but differ in text are different documents."""
+    ready(docs.sparkSession)
+    rows = numbered(docs)
+    copies = cut_lineage(_marks(rows).filter("row <> keep_row").select("row"))
+    return rows.join(broadcast_if_small(copies), "row", "left_anti").select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,6 +68,12 @@ def test_drop_copies(edge_docs, edge_rows):
     assert Counter((r.doc_id, r.text or "") for r in got.collect()) == Counter((i, t) for t, i in best.items())
 
 
+def test_drop_copies_keeps_every_distinct_text(spark):
+    rows = [(5, "ab"), (5, "cde"), (7, "ab"), (8, "x"), (8, "y"), (8, "y"), (None, "p"), (None, "q"), (None, "q"), (None, "cde")]
+    got = exact_dedup.drop_copies(documents(spark, rows))
+    assert rows_of(got.select("doc_id", "text")) == Counter([(5, "cde"), (7, "ab"), (8, "x"), (8, "y"), (None, "p"), (None, "q")])
+
+
 def test_hashes_compose():
     poly = exact_dedup.Polynomials()
     data = bytes(np.random.default_rng(0).integers(0, 256, 100_001, dtype=np.uint8))
