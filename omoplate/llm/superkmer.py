@@ -8,7 +8,8 @@ have equal minimisers, so a bucket sees every copy of its windows. There
 the windows are sorted and the smallest doc_id of each is found exactly
 (equal hashes are compared word by word).
 
-Documents are dealt into chunks by doc_id. A chunk sends each distinct
+Rows are dealt into chunks by doc_id and text, so rows without a doc_id, or
+of one that repeats, are spread; only equal rows stay together. A chunk sends each distinct
 super-k-mer once, with the smallest and largest doc_id that hold it, so a
 passage that very many documents share costs a bucket one row a chunk. A
 bucket answers the chunk only where a window starts in a smaller document
@@ -173,6 +174,10 @@ def _unpacked(data: bytes, n: int) -> list[bytes]:
     return [data[a:b] for a, b in zip([8 * n, *ends], ends)]
 
 
+def dealt_texts(docs: DataFrame, n_chunks: int) -> DataFrame:
+    return doc_texts(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int"))
+
+
 def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BYTES,
                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_sha256``.
@@ -187,7 +192,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
     """
     ready(docs.sparkSession)
     n_chunks, n_buckets = parts_for(docs, chunk_bytes), parts_for(docs, bucket_bytes)
-    dealt = doc_texts(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).cast("int"))
+    dealt = dealt_texts(docs, n_chunks)
 
     def send(t: pa.Table) -> pa.Table:
         c = Chunk(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), k)

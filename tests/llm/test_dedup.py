@@ -183,6 +183,18 @@ def test_remove_repeats(edge_docs, edge_rows, k, chunk, bucket):
     assert rows_of(superkmer.remove_repeats(edge_docs, k, chunk, bucket)) == want
 
 
+def test_rows_without_or_with_one_doc_id_are_spread(spark, monkeypatch):
+    """No chunk gets them all, and the answers are those of brute force."""
+    rng = np.random.default_rng(4)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 12, 40))
+    rows = [(i, text()) for i in [None] * 60 + [8] * 60 + list(range(20))]
+    docs = documents(spark, rows)
+    monkeypatch.setattr(superkmer, "parts_for", lambda df, size: 16)
+    chunks = superkmer.dealt_texts(docs, 16).groupBy("chunk").count().collect()
+    assert len(chunks) > 8 and max(r["count"] for r in chunks) < 50
+    assert rows_of(superkmer.remove_repeats(docs, 3)) == repeats_by_hand(rows, 3)
+
+
 def test_remove_repeats_empty(no_docs):
     assert superkmer.remove_repeats(no_docs).count() == 0
 
