@@ -8,6 +8,14 @@ have equal minimisers, so a bucket sees every copy of its windows. There
 the windows are sorted and the smallest doc_id of each is found exactly
 (equal hashes are compared word by word).
 
+A frequent word pair may be the minimiser of far more windows than a bucket
+should hold. So windows are counted first, in a fixed number of cells of
+their minimiser, and in as many of their two smallest pair hashes. Windows
+of a cell over ``HEAVY_WINDOWS`` go by the two smallest hashes instead, and
+if that cell is over it too, each by the hash of all its words. All of this
+follows from the window and the counts, so equal windows still meet; the
+runs of super-k-mers are cut where it changes.
+
 Rows are dealt into chunks by doc_id and text, so rows without a doc_id, or
 of one that repeats, are spread; only equal rows stay together. A chunk sends each distinct
 super-k-mer once, with the smallest and largest doc_id that hold it, so a
@@ -36,9 +44,16 @@ WINDOW = 13
 SEED_WORDS = 2
 #: Most windows of one super-k-mer; longer runs (a text of one word) are cut.
 MOST_WINDOWS = 256
+#: Most windows of a cell that are not split.
+HEAVY_WINDOWS = 1 << 20
+#: Cells a bucket, and at least.
+BUCKET_CELLS, LEAST_CELLS = 16, 1 << 12
+#: Bytes of text that are counted at a time.
+COUNT_BYTES = 2 << 20
 CHUNK_BYTES = 6 << 20
 BUCKET_BYTES = 6 << 20
 NO_ID = np.iinfo(np.int64).max
+TOP = np.uint64(np.iinfo(np.uint64).max)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -47,6 +62,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def least_two(x: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the second smallest distinct value of every ``span`` consecutive ones; the second
+    is ``TOP`` if all are equal."""
+    a, b, width = x, np.full(len(x), TOP), 1
+    while width < span:
+        step = min(width, span - width)
+        a0, a1 = a[:-step], a[step:]
+        b = np.minimum(np.minimum(b[:-step], b[step:]), np.where(a0 == a1, TOP, np.maximum(a0, a1)))
+        a = np.minimum(a0, a1)
+        width += step
+    return a, b
+
+
+def _cells(keys: np.ndarray, n_cells: int) -> np.ndarray:
+    return (_mixed(keys) % np.uint64(n_cells)).astype(np.int64)
+
+
 class Chunk:
     """The words, windows and super-k-mers of some documents, in order of doc_id."""
 
@@ -69,29 +101,55 @@ class Chunk:
     def slice(self, first: int, n: int) -> bytes:
         return self.joined[self.at[first - 1] + 1 if first else 0:self.at[first + n - 1]]
 
-    def superkmers(self) -> None:
-        """run_*: each occurrence's super-k-mer, first word, windows and document; text, bucket_key, low,
-        high: the distinct ones, in order of first sight."""
+    def windows(self) -> bool:
+        """Sets word_hash, and for each window start and doc, its first word and document, and low and low_two,
+        its smallest pair hash and that with the second smallest. False if there are none."""
         k, n = self.k, len(self.words)
         n_windows = np.maximum(self.counts - k + 1, 0)
         total = int(n_windows.sum())
         if not total:
-            self.text, self.bucket_key = [], np.zeros(0, np.uint64)
-            self.run_text = self.run_first = self.run_windows = self.run_doc = np.zeros(0, np.int64)
-            self.low = self.high = np.zeros(0, np.int64)
-            return
+            return False
         coded = pa.array(self.words, pa.binary()).dictionary_encode()
         h = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
         seeds = h.copy()
         for j in range(1, SEED_WORDS):
             seeds[:n - j] = _mixed(seeds[:n - j] * np.uint64(3) + h[j:])
-        lows = np.lib.stride_tricks.sliding_window_view(seeds[:n - SEED_WORDS + 1], k - SEED_WORDS + 1).min(1)
-        doc = np.repeat(np.arange(len(self.counts)), n_windows)
+        least, second = least_two(seeds[:n - SEED_WORDS + 1], k - SEED_WORDS + 1)
         before = np.cumsum(n_windows) - n_windows
-        start = np.arange(total) - np.repeat(before - self.first, n_windows)  # a window's first word
-        low = lows[start]
+        self.word_hash = h
+        self.doc = np.repeat(np.arange(len(self.counts)), n_windows)
+        self.start = np.arange(total) - np.repeat(before - self.first, n_windows)
+        self.low = least[self.start]
+        self.low_two = _mixed(self.low * np.uint64(3) + second[self.start])
+        return True
+
+    def keys(self, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What decides a window's bucket, and the windows that are keyed by all their words. ``heavy``: by level
+        and cell, whether its windows are split."""
+        key = self.low.copy()
+        split = np.flatnonzero(heavy[0][_cells(key, heavy.shape[1])])
+        key[split] = self.low_two[split]
+        split = split[heavy[1][_cells(key[split], heavy.shape[1])]]
+        whole = np.zeros(len(split), np.uint64)
+        for j in range(self.k):
+            whole = whole * np.uint64(0x100000001B3) + _mixed(self.word_hash[self.start[split] + j])
+        key[split] = whole
+        return key, split
+
+    def superkmers(self, heavy: np.ndarray) -> None:
+        """run_*: each occurrence's super-k-mer, first word, windows and document; text, bucket_key, low,
+        high: the distinct ones, in order of first sight."""
+        k = self.k
+        if not self.windows():
+            self.text, self.bucket_key = [], np.zeros(0, np.uint64)
+            self.run_text = self.run_first = self.run_windows = self.run_doc = np.zeros(0, np.int64)
+            self.low = self.high = np.zeros(0, np.int64)
+            return
+        start, doc, (low, single) = self.start, self.doc, self.keys(heavy)
+        total = len(start)
         new = np.ones(total, bool)
         new[1:] = (low[1:] != low[:-1]) | (doc[1:] != doc[:-1])
+        new[single] = True  # equal neighbours too, so that a chunk sends such a window once
         head = np.flatnonzero(new)
         new[np.flatnonzero((np.arange(total) - np.repeat(head, np.diff(np.append(head, total)))) % MOST_WINDOWS == 0)] = True
         head = np.flatnonzero(new)
@@ -163,6 +221,38 @@ def window_lows(texts: list[bytes], low: np.ndarray, k: int) -> tuple[np.ndarray
     return n_windows, out
 
 
+def heavy_cells(docs: DataFrame, k: int, n_cells: int, most: int) -> np.ndarray:
+    """By level and cell, whether more than ``most`` windows fall there. A task counts into arrays of one size and
+    only the cells above come to the driver."""
+
+    def count(batches):
+        total = np.zeros((2, n_cells), np.int64)
+
+        def add(texts: list[str]) -> None:
+            c = Chunk(list(range(len(texts))), texts, k)
+            if c.windows():
+                for level, keys in enumerate((c.low, c.low_two)):
+                    total[level] += np.bincount(_cells(keys, n_cells), minlength=n_cells)
+
+        for b in batches:
+            part, size = [], 0
+            for t in b.column("text"):
+                part.append(t.as_py())
+                size += len(part[-1])
+                if size >= COUNT_BYTES:
+                    add(part)
+                    part, size = [], 0
+            add(part)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total.ravel()[cells], pa.int64())], names=["cell", "n"])
+
+    counts = doc_texts(docs).select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros((2, n_cells), bool)
+    for r in counts.filter(F.col("n") > most).select("cell").collect():
+        out[divmod(r["cell"], n_cells)] = True
+    return out
+
+
 def _packed(*parts: bytes) -> bytes:
     sizes = np.array([len(p) for p in parts], np.int64)
     return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(parts))
@@ -179,7 +269,7 @@ def dealt_texts(docs: DataFrame, n_chunks: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BYTES,
-                   bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   bucket_bytes: int = BUCKET_BYTES, heavy_windows: int = HEAVY_WINDOWS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_sha256``.
 
     Words covered by a window that also starts in a document with a smaller
@@ -192,11 +282,12 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
     """
     ready(docs.sparkSession)
     n_chunks, n_buckets = parts_for(docs, chunk_bytes), parts_for(docs, bucket_bytes)
+    heavy = heavy_cells(docs, k, max(LEAST_CELLS, BUCKET_CELLS * n_buckets), heavy_windows)
     dealt = dealt_texts(docs, n_chunks)
 
     def send(t: pa.Table) -> pa.Table:
         c = Chunk(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), k)
-        c.superkmers()
+        c.superkmers(heavy)
         rows = [(b, _packed(b"\n".join([c.text[i] for i in own]), np.diff(c.low[own], prepend=0).tobytes(),
                             (c.high[own] - c.low[own]).tobytes())) for b, own in c.by_bucket(n_buckets)]
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int32()),
@@ -229,7 +320,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
         c = Chunk(left.column("doc_id").to_pylist(), left.column("text").to_pylist(), k)
         removed = np.zeros(len(c.words), np.int64)
         if right.num_rows:
-            c.superkmers()
+            c.superkmers(heavy)
             own = dict(c.by_bucket(n_buckets))
             windows = np.zeros(len(c.text), np.int64)
             windows[c.run_text] = c.run_windows

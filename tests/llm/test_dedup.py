@@ -195,6 +195,44 @@ def test_rows_without_or_with_one_doc_id_are_spread(spark, monkeypatch):
     assert rows_of(superkmer.remove_repeats(docs, 3)) == repeats_by_hand(rows, 3)
 
 
+def test_least_two():
+    x = np.random.default_rng(5).integers(0, 6, 200).astype(np.uint64)
+    for span in (1, 2, 3, 7, 12):
+        a, b = superkmer.least_two(x, span)
+        want = [sorted(set(x[i:i + span].tolist())) + [int(superkmer.TOP)] for i in range(len(x) - span + 1)]
+        assert a.tolist() == [w[0] for w in want] and b.tolist() == [w[1] for w in want]
+
+
+def test_windows_of_a_frequent_pair_are_split(spark):
+    """No bucket key holds them all, and the answers are those of brute force at every level of splitting."""
+    rng = np.random.default_rng(6)
+    frequent = min((f"f{i} g" for i in range(4000)), key=lambda p: superkmer.least_two(_pair_hashes(p), 1)[0][0])
+    rows = [(i, " ".join([*(f"w{x}" for x in rng.integers(0, 900, 8)), frequent, *(f"w{x}" for x in rng.integers(0, 900, 8))]))
+            for i in range(150)]
+    rows += [(200 + i, rows[i][1]) for i in range(20)] + [(None, rows[30][1]), (300, "same " * 400), (301, "same " * 40)]
+    docs, k, most = documents(spark, rows), 13, 60
+
+    def largest(heavy):
+        c = superkmer.Chunk([i for i, _ in rows], [t for _, t in rows], k)
+        c.superkmers(heavy)
+        windows = Counter()
+        for text, key in zip(c.text, c.bucket_key.tolist()):
+            windows[key] += len(text.split()) - k + 1
+        return max(windows.values())
+
+    heavy = superkmer.heavy_cells(docs, k, 4096, most)
+    assert heavy.any() and largest(np.zeros_like(heavy)) > 800 and largest(heavy) <= most
+    want = repeats_by_hand(rows, k)
+    for most in (0, 3, 60):
+        assert rows_of(superkmer.remove_repeats(docs, k, 2000, 2000, heavy_windows=most)) == want
+
+
+def _pair_hashes(text):
+    c = superkmer.Chunk([1], [text], superkmer.SEED_WORDS)
+    c.windows()
+    return c.low
+
+
 def test_remove_repeats_empty(no_docs):
     assert superkmer.remove_repeats(no_docs).count() == 0
 
