@@ -5,13 +5,13 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from omoplate.operators.sizing import broadcast_if_small
 from omoplate.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["broadcast_if_small", "cut_lineage", "ensure_checkpoint_dir", "doc_texts", "drop_ids", "parts_for",
+__all__ = ["broadcast_if_small", "crc32_sql", "cut_lineage", "ensure_checkpoint_dir", "doc_texts", "drop_ids", "parts_for",
            "plan_bytes", "ready", "table"]
 
 
@@ -53,5 +53,9 @@ def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(broadcast_if_small(ids.select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
 
 
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def crc32_sql(text: str) -> str:
+    """DuckDB has no crc32: bit by bit over the characters, which are digits."""
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    step = f"list_reduce([xor(c, d)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda c, i: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, d: {step}), 4294967295)"

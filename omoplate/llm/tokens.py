@@ -39,10 +39,10 @@ BEFORE = {words: "", spaced_words: " "}
 
 #: A word of ASCII and Latin-1 letters, which are their own normal form, and ASCII punctuation
 #: behind it other than the apostrophe of contractions. Pre-tokenizers cut between the two.
-_SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+SIMPLE = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def _byte_alphabet() -> dict[int, str]:
+def byte_alphabet() -> dict[int, str]:
     """Byte-level vocabularies write a printable byte as itself and the others, in order, as the
     characters from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -87,7 +87,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.alphabet = self.tokenizer.model, _byte_alphabet()
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
         self.pieces, self.known, self.parts = pieces, Memory(int(share * MOST_PIECES)), Memory(int(share * MOST_LETTERS))
         probes = [p if pieces is spaced_words else p.strip() for p in self.PROBES]
         whole = [self._library([p])[0] for p in probes]
@@ -120,7 +120,7 @@ class PieceEncoder:
         other, texts = [], []
         for p in new:
             text = p.decode("utf-8", "surrogatepass") if isinstance(p, bytes) else before + p
-            m = _SIMPLE.fullmatch(text) if self.straight else None
+            m = SIMPLE.fullmatch(text) if self.straight else None
             if m:
                 known[p] = self._part(m[1], True) + (self._part(m[2], False) if m[2] else b"")
             else:
