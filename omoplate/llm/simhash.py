@@ -22,8 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from omoplate.llm.common import cut_lineage, doc_texts, drop_ids, ready, table
+from omoplate.llm.common import broadcast_if_small, cut_lineage, doc_texts, ready, table
 from omoplate.llm.components import connected_components
+from omoplate.llm.exact_dedup import numbered
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -51,15 +52,16 @@ def fingerprint(text: str, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id, fp``: the fingerprint's bits as a long."""
+def fingerprints(rows: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """``row, doc_id, fp`` of rows (row, doc_id, text): the fingerprint's bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle_words) for t in b.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(fps.view(np.int64))],
+                                             names=["row", "doc_id", "fp"])
 
-    return doc_texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "row long, doc_id long, fp long")
 
 
 def _quarters(fps: np.ndarray) -> np.ndarray:
@@ -115,8 +117,8 @@ def tile_links(x: np.ndarray, y: np.ndarray | None, radius: int, block: int = BL
 
 
 def links(classes: DataFrame, radius: int = MAX_BITS, tile: int = TILE, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between the ``rep`` ids of distinct fingerprints ``fp`` that connect what all
-    links within ``radius`` bits connect."""
+    """Edges (a, b) between distinct fingerprints ``fp`` that connect what all links within ``radius``
+    bits connect."""
     counts = dict(classes.groupBy(F.bit_count("fp").cast("int").alias("ones")).count().collect())  # 65 rows at most
     split = {p: -(-n // tile) for p, n in counts.items()}
     first, at = {}, 0
@@ -124,64 +126,80 @@ def links(classes: DataFrame, radius: int = MAX_BITS, tile: int = TILE, block: i
         first[p] = at
         at += split.get(p, 0)
     if not at:
-        return classes.select(F.col("rep").alias("a"), F.col("rep").alias("b"))
+        return classes.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
     lookup = lambda d: F.create_map(*[F.lit(x) for p in counts for x in (p, d(p))])
     ones = F.bit_count("fp").cast("int")
     tiled = classes.withColumn("tile", lookup(lambda p: first[p])[ones]
                                + F.pmod(F.xxhash64("fp"), lookup(lambda p: split[p])[ones]).cast("int"))
 
     def packed(t: pa.Table) -> pa.Table:
-        t = t.sort_by("fp")
-        fps, reps = (t.column(n).to_numpy() for n in ("fp", "rep"))
+        fps = np.sort(t.column("fp").to_numpy())
         key = t.column("tile")[0].as_py()
         ones = int(np.bitwise_count(fps[:1].view(np.uint64))[0])
         return pa.table({"tile": pa.array([key], pa.int32()), "last": pa.array([first[min(ones + radius, 64) + 1] - 1], pa.int32()),
-                         "fps": [fps.tobytes()], "reps": [reps.tobytes()]})
+                         "fps": [fps.tobytes()]})
 
-    tiles = cut_lineage(tiled.groupBy("tile").applyInArrow(packed, "tile int, last int, fps binary, reps binary"))
-    ahead = tiles.select("tile", "fps", "reps", F.col("tile").alias("x"), F.explode(F.sequence("tile", "last")).alias("y"))
+    tiles = cut_lineage(tiled.groupBy("tile").applyInArrow(packed, "tile int, last int, fps binary"))
+    ahead = tiles.select("tile", "fps", F.col("tile").alias("x"), F.explode(F.sequence("tile", "last")).alias("y"))
     # a tile also goes to the pairs whose other tile has fewer bits
     before = tiles.select("tile", "last")
     behind = before.select(F.col("tile").alias("x"), F.explode(F.sequence("tile", "last")).alias("y")).filter("x < y")
-    behind = behind.join(tiles.withColumnRenamed("tile", "y"), "y").select(F.col("y").alias("tile"), "fps", "reps", "x", "y")
+    behind = behind.join(tiles.withColumnRenamed("tile", "y"), "y").select(F.col("y").alias("tile"), "fps", "x", "y")
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.sort_by("tile")
         fps = [np.frombuffer(v.as_py(), np.uint64) for v in t.column("fps")]
-        reps = np.concatenate([np.frombuffer(v.as_py(), np.int64) for v in t.column("reps")])
+        both = np.concatenate(fps).view(np.int64)
         i, j = tile_links(fps[0], fps[1] if len(fps) > 1 else None, radius, block)
-        return pa.table({"a": pa.array(reps[i], pa.int64()), "b": pa.array(reps[j], pa.int64())})
+        return pa.table({"a": pa.array(both[i], pa.int64()), "b": pa.array(both[j], pa.int64())})
 
     return ahead.unionByName(behind).groupBy("x", "y").applyInArrow(compare, "a long, b long")
 
 
+def _components(classes: DataFrame, radius: int, tile: int = TILE, block: int = BLOCK) -> DataFrame:
+    """``classes`` (distinct ``fp``, other columns) with ``component``: the smallest fingerprint that links reach."""
+    groups = connected_components(links(classes.select("fp"), radius, tile, block))
+    return classes.join(groups, F.col("fp") == F.col("node"), "left").withColumn(
+        "component", F.coalesce("component", "fp")).drop("node")
+
+
 def simhash_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = MAX_BITS,
                    tile: int = TILE, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fingerprint, component_id``.
 
     Texts whose fingerprints differ in ``radius`` bits or fewer are linked;
-    component_id is the smallest doc_id that links reach. A null or empty
-    text has fingerprint zero and is linked like any other. A row without a
-    doc_id takes the component of its fingerprint, and is left without one
-    if nothing with a doc_id is equal to it. Repeated rows repeat. An empty
-    table gives no rows; other columns are ignored.
+    component_id is the smallest doc_id that links reach. Links are those of
+    texts: rows without a doc_id connect others like any row, and rows that
+    share a doc_id but not a text are linked to what is near their own. A
+    component in which no row has a doc_id has a null component_id. A null
+    or empty text has fingerprint zero and is linked like any other; a text
+    of any length is read whole, with some 40 bytes a word in memory.
+    Repeated rows repeat. An empty table gives no rows; other columns are
+    ignored.
     """
     ready(docs.sparkSession)
-    prints = cut_lineage(fingerprints(docs, shingle_words))
-    classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    known = classes.filter(F.col("rep").isNotNull())
-    # ids that repeat could stand for two fingerprints; the edges then still name real documents
-    groups = connected_components(links(known, radius, tile, block))
-    marks = classes.join(groups, classes["rep"] == groups["node"], "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    prints = cut_lineage(fingerprints(doc_texts(docs).withColumn("row", F.lit(0).cast("long")), shingle_words).drop("row"))
+    classes = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    marks = cut_lineage(_components(classes, radius, tile, block))
+    least = marks.groupBy("component").agg(F.min("least").alias("component_id"))
+    marks = marks.join(least, "component").select("fp", "component_id")
     return prints.join(marks, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component: its smallest doc_id. Rows without a doc_id stay."""
-    marks = cut_lineage(simhash_groups(docs, shingle_words, radius))
-    return drop_ids(docs, marks.filter("doc_id <> component_id").select("doc_id").distinct())
+    """``docs`` with exactly one row of each component: one of its smallest doc_id, or, where none has a
+    doc_id, any. Rows that share a doc_id, or lack one, are different documents."""
+    ready(docs.sparkSession)
+    rows = numbered(docs)
+    texts = rows.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"),
+                        F.coalesce(F.col("doc.text").cast("string"), F.lit("")).alias("text"))
+    prints = cut_lineage(fingerprints(texts, shingle_words))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    classes = cut_lineage(prints.groupBy("fp").agg(first))
+    kept = _components(classes, radius).groupBy("component").agg(F.min("first").alias("first")).select("first.row")
+    gone = cut_lineage(prints.select("row").join(kept, "row", "left_anti"))
+    return rows.join(broadcast_if_small(gone), "row", "left_anti").select(*(F.col(f"doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -128,18 +128,56 @@ def test_simhash_groups(edge_docs, edge_rows, tile, block):
     for n, (i, _) in enumerate(edge_rows):
         if i is not None:
             least[of[n]] = min(least.get(of[n], i), i)
-    known = {f for f, (i, _) in zip(fps, edge_rows) if i is not None}
-    want = Counter((i, f"{f:016x}", least.get(of[n]) if f in known else None) for n, ((i, _), f) in enumerate(zip(edge_rows, fps)))
+    want = Counter((i, f"{f:016x}", least.get(of[n])) for n, ((i, _), f) in enumerate(zip(edge_rows, fps)))
     assert rows_of(simhash.simhash_groups(edge_docs, tile=tile, block=block)) == want
 
 
+def near_texts():
+    """a - b - c in a chain whose ends are not near, and x far from all."""
+    rng = np.random.default_rng(3)
+    base = [f"w{n}" for n in rng.integers(0, 10 ** 6, 300)]
+    fp = lambda words: fingerprint_by_hand(" ".join(words))
+    far = lambda p, q: (p ^ q).bit_count()
+    while True:
+        b, c = list(base), list(base)
+        for n in rng.integers(0, 300, 8):
+            b[n] = c[n] = f"b{n}"
+        for n in rng.integers(0, 300, 12):
+            c[n] = f"c{n}"
+        if far(fp(base), fp(b)) <= 4 and far(fp(b), fp(c)) <= 4 and far(fp(base), fp(c)) > 4:
+            return [" ".join(t) for t in (base, b, c)] + ["unlike any of the others in every way " * 3]
+
+
+def test_rows_without_a_doc_id_connect(spark):
+    a, b, c, x = near_texts()
+    rows = [(1, a), (None, b), (2, c), (None, x)]
+    got = simhash.simhash_groups(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (None, 1), (2, 1), (None, None)}
+    kept = simhash.drop_near_copies(documents(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (0, x)])
+
+
+def test_repeated_doc_ids_of_unlike_texts(spark):
+    a, b, _, x = near_texts()
+    rows = [(5, a), (0, b), (5, x), (9, x), (None, x), (None, None), (None, "")]
+    got = simhash.simhash_groups(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter(
+        [(5, 0), (0, 0), (5, 5), (9, 5), (None, 5), (None, None), (None, None)])
+    kept = simhash.drop_near_copies(documents(spark, rows)).collect()
+    assert len(kept) == 3 and {(0, b), (5, x)} < {(r.doc_id, r.text) for r in kept}
+    assert [r.text or "" for r in kept if r.doc_id is None] == [""]
+
+
 def test_simhash_empty_and_drop(edge_docs, no_docs):
     assert simhash.simhash_groups(no_docs).count() == 0
     got = simhash.drop_near_copies(edge_docs)
     assert got.columns == edge_docs.columns
     marks = simhash.simhash_groups(edge_docs).collect()
-    gone = {r.doc_id for r in marks if r.doc_id is not None and r.doc_id != r.component_id}
-    assert gone and {r.doc_id for r in got.collect()} == {r.doc_id for r in marks} - gone
+    known = {r.component_id for r in marks} - {None}
+    kept = Counter(r.doc_id for r in got.collect())
+    fps = {int(r.fingerprint, 16) for r in marks if r.component_id is None}
+    alone = components_by_hand([(a, b) for a in fps for b in fps if (a ^ b).bit_count() <= 4])
+    assert kept == Counter([*known, *[None] * len(set(alone.values()))])
 
 
 def test_tile_links_connect_what_all_links_connect():

@@ -70,6 +70,6 @@ def test_stages(spark, folder):
 
 
 def test_names():
-    assert len(queries.QUERIES) == 10 and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert len(queries.QUERIES) == 13 and set(queries.ORACLE_SQL) <= set(queries.QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "secrets", "packing"]
