@@ -37,7 +37,7 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), memory=0.25)  # beside other stages' workers
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), memory=0.08)  # beside other stages' workers
 
 
 STAGES = [("toxicity", toxicity), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
