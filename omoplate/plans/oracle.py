@@ -7,6 +7,8 @@ so that the Spark plans are checked against a different derivation.
 
 from __future__ import annotations
 
+from omoplate import catalogue
+
 N_DAYS = 90
 
 IV = """SELECT o.o_custkey AS person_id, l.l_shipdate AS start_date,
@@ -540,77 +542,68 @@ ORACLE_SQL.update({"csv_ingest": CSV_INGEST, "icd_expand": ICD_EXPAND, "pk_check
                    "date_rules": DATE_RULES, "key_check": KEY_CHECK})
 
 
-def _pk(table: str, src: str, key: str) -> str:
-    return f"""SELECT 'pk' AS "check", '{table}' AS "table", '{key}' AS "column", CAST({key} AS VARCHAR) AS value,
-    CAST(COUNT(*) AS BIGINT) AS n FROM {src} GROUP BY {key} HAVING COUNT(*) > 1"""
-
-
-def _fk2(table: str, child: str, column: str, parent: str, pcol: str) -> str:
-    return f"""SELECT 'fk' AS "check", "table", "column", value, n FROM ({_fk(table, child, column, parent, pcol)}) x"""
-
-
-_TABLES = {"PERSON": f"({PERSON}) t", "LOCATION": f"({LOCATION}) t", "PROVIDER": f"({PROVIDER}) t",
-           "DEATH": f"({DEATH}) t", "OBSERVATION_PERIOD": f"({OBSERVATION_PERIOD}) t",
-           "CONCEPT": f"({CONCEPT}) t"}
-_FKS = [("PERSON", "gender_concept_id", "CONCEPT", "concept_id"),
-        ("PERSON", "race_concept_id", "CONCEPT", "concept_id"),
-        ("PERSON", "ethnicity_concept_id", "CONCEPT", "concept_id"),
-        ("PERSON", "location_id", "LOCATION", "location_id"),
-        ("PERSON", "provider_id", "PROVIDER", "provider_id"),
-        ("PERSON", "gender_source_concept_id", "CONCEPT", "concept_id"),
-        ("PERSON", "race_source_concept_id", "CONCEPT", "concept_id"),
-        ("PERSON", "ethnicity_source_concept_id", "CONCEPT", "concept_id"),
-        ("OBSERVATION_PERIOD", "person_id", "PERSON", "person_id"),
-        ("OBSERVATION_PERIOD", "period_type_concept_id", "CONCEPT", "concept_id"),
-        ("DEATH", "person_id", "PERSON", "person_id"),
-        ("DEATH", "death_type_concept_id", "CONCEPT", "concept_id"),
-        ("DEATH", "cause_concept_id", "CONCEPT", "concept_id"),
-        ("DEATH", "cause_source_concept_id", "CONCEPT", "concept_id"),
-        ("LOCATION", "country_concept_id", "CONCEPT", "concept_id"),
-        ("PROVIDER", "specialty_concept_id", "CONCEPT", "concept_id"),
-        ("PROVIDER", "gender_concept_id", "CONCEPT", "concept_id"),
-        ("PROVIDER", "specialty_source_concept_id", "CONCEPT", "concept_id"),
-        ("PROVIDER", "gender_source_concept_id", "CONCEPT", "concept_id")]
-def _column_checks(table: str, src: str) -> list[str]:
-    from omoplate.schemas import OMOP_SCHEMAS, text_lengths
-
-    sch = OMOP_SCHEMAS[table]
-    parts = [f"""SELECT 'null' AS "check", '{table}' AS "table", '{f.name}' AS "column", CAST(NULL AS VARCHAR) AS value,
-        CAST(COUNT(*) FILTER (WHERE {f.name} IS NULL) AS BIGINT) AS n FROM {src} HAVING n > 0"""
-             for f in sch.fields if not f.nullable]
-    parts += [f"""SELECT 'length' AS "check", '{table}' AS "table", '{c}' AS "column", CAST(NULL AS VARCHAR) AS value,
-        CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS n FROM {src} HAVING n > 0"""
-              for c, n in text_lengths(table).items()]
-    return parts
-
-
-_CONCEPT_COLS = {"concept_id", "concept_name", "vocabulary_id", "standard_concept"}
-
-OP_DATE_RULES = f"""SELECT 'date' AS "check", 'OBSERVATION_PERIOD' AS "table", rule AS "column",
-    CAST(NULL AS VARCHAR) AS value, CAST(n AS BIGINT) AS n FROM (
-  UNPIVOT (SELECT COUNT(*) FILTER (WHERE s IS NULL) AS start_missing,
-                  COUNT(*) FILTER (WHERE e < s) AS end_before_start,
-                  COUNT(*) FILTER (WHERE s < birth) AS start_before_birth,
-                  COUNT(*) FILTER (WHERE s > death) AS start_after_death,
-                  COUNT(*) FILTER (WHERE e > death + INTERVAL 60 DAY) AS end_after_death_grace
-           FROM (SELECT op.observation_period_start_date AS s, op.observation_period_end_date AS e,
-                        p.birth_datetime AS birth, CAST(d.death_date AS TIMESTAMP) AS death
-                 FROM ({OBSERVATION_PERIOD}) op
-                 LEFT JOIN ({PERSON}) p ON op.person_id = p.person_id
-                 LEFT JOIN (SELECT person_id, MIN(death_date) AS death_date FROM ({DEATH}) x GROUP BY 1) d
-                   ON op.person_id = d.person_id) ev)
-  ON COLUMNS(*) INTO NAME rule VALUE n) u WHERE n > 0"""
-CDM_CONSTRAINTS = "WITH RECURSIVE dummy AS (SELECT 1) " + " UNION ALL ".join(
-    [q for t, src in _TABLES.items() if t != "CONCEPT" for q in _column_checks(t, src)]
-    + [q for q in _column_checks("CONCEPT", _TABLES["CONCEPT"])
-       if any(f"'{c}' AS \"column\"" in q for c in _CONCEPT_COLS)]
-    + [OP_DATE_RULES] +
-    [_pk("PERSON", _TABLES["PERSON"], "person_id"),
-     _pk("OBSERVATION_PERIOD", _TABLES["OBSERVATION_PERIOD"], "observation_period_id"),
-     _pk("LOCATION", _TABLES["LOCATION"], "location_id"),
-     _pk("PROVIDER", _TABLES["PROVIDER"], "provider_id"),
-     _pk("CONCEPT", _TABLES["CONCEPT"], "concept_id")]
-    + [_fk2(ct, _TABLES[ct], cc, _TABLES[pt], pc) for ct, cc, pt, pc in _FKS])
+PROCEDURE = """SELECT CAST(l_orderkey AS BIGINT) AS procedure_occurrence_id, CAST(l_suppkey * 3 AS BIGINT) AS person_id,
+    CAST(l_partkey * 2 AS BIGINT) AS procedure_concept_id, CAST(l_shipdate AS DATE) AS procedure_date,
+    CAST(NULL AS TIMESTAMP) AS procedure_datetime, CAST(l_shipdate AS DATE) - CAST(l_linenumber - 3 AS INTEGER) AS procedure_end_date,
+    CAST(NULL AS TIMESTAMP) AS procedure_end_datetime, CAST(l_linenumber AS BIGINT) AS procedure_type_concept_id,
+    CAST(NULL AS BIGINT) AS modifier_concept_id, CAST(NULL AS BIGINT) AS quantity, CAST(l_suppkey AS BIGINT) AS provider_id,
+    CAST(CASE WHEN l_linenumber > 2 THEN l_linenumber + 40 END AS BIGINT) AS visit_occurrence_id,
+    CAST(NULL AS BIGINT) AS visit_detail_id, CAST(NULL AS VARCHAR) AS procedure_source_value,
+    CAST(NULL AS BIGINT) AS procedure_source_concept_id, CAST(NULL AS VARCHAR) AS modifier_source_value FROM lineitem"""
+CARE_SITE = """SELECT CAST(n_nationkey AS BIGINT) AS care_site_id, n_name AS care_site_name,
+    CAST(n_nationkey * 100 AS BIGINT) AS place_of_service_concept_id, CAST(n_nationkey * 7 AS BIGINT) AS location_id,
+    repeat(n_name, 8) AS care_site_source_value, CAST(NULL AS VARCHAR) AS place_of_service_source_value FROM nation"""
+ORACLE_SQL.update({"care_site": CARE_SITE, "procedure": PROCEDURE})
+
+# The columns that the built tables have beyond their schema, or lack of it, are left to the schema; of the
+# vocabulary these are there.
+_BUILT = {"PERSON": PERSON, "LOCATION": LOCATION, "PROVIDER": PROVIDER, "DEATH": DEATH, "OBSERVATION_PERIOD": OBSERVATION_PERIOD,
+          "VISIT_OCCURRENCE": VISIT_OCCURRENCE, "CONDITION_OCCURRENCE": CONDITION, "DRUG_EXPOSURE": DRUG, "MEASUREMENT": MEASUREMENT,
+          "CONCEPT": """SELECT CAST(p_partkey AS BIGINT) AS concept_id, p_name AS concept_name, p_type AS domain_id,
+                p_brand AS vocabulary_id, 'Clinical Finding' AS concept_class_id,
+                CASE WHEN p_partkey % 3 = 0 THEN 'S' END AS standard_concept, 'C' || p_partkey AS concept_code FROM part""",
+          "CONCEPT_RELATIONSHIP": """SELECT CAST(p_partkey AS BIGINT) AS concept_id_1,
+                CASE WHEN p_partkey % 2 = 0 THEN 'Maps to' ELSE 'Is a' END AS relationship_id,
+                CAST(p_partkey - p_partkey % 3 AS BIGINT) AS concept_id_2 FROM part""",
+          "VOCABULARY": """SELECT p_brand AS vocabulary_id, 'The vocabulary ' || p_brand AS vocabulary_name,
+                CAST(min(p_partkey) AS BIGINT) AS vocabulary_concept_id FROM part WHERE p_brand NOT LIKE '%5' GROUP BY p_brand""",
+          "DOMAIN": """SELECT p_type AS domain_id, p_type AS domain_name, CAST(-max(p_partkey) AS BIGINT) AS domain_concept_id
+                FROM part GROUP BY p_type""",
+          "CARE_SITE": CARE_SITE, "PROCEDURE_OCCURRENCE": PROCEDURE}
+_PARTIAL = {"CONCEPT": ["concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id", "standard_concept",
+                        "concept_code"],
+            "CONCEPT_RELATIONSHIP": ["concept_id_1", "relationship_id", "concept_id_2"],
+            "VOCABULARY": ["vocabulary_id", "vocabulary_name", "vocabulary_concept_id"]}
+
+
+def _violations(table: str) -> list[str]:
+    """Every check of a table as a statement of its own."""
+    names = _PARTIAL.get(table, catalogue.schema(table).names)
+    head = lambda check, column, value: f"""SELECT '{check}' AS "check", '{table}' AS "table", '{column}' AS "column",
+        CAST({value} AS VARCHAR) AS value"""
+    some = lambda test: f"CAST(COUNT(*) AS BIGINT) AS n FROM t_{table} WHERE {test} HAVING COUNT(*) > 0"
+    out = [f"{head('null', f.name, 'NULL')}, {some(f.name + ' IS NULL')}"
+           for f in catalogue.schema(table) if not f.nullable and f.name in names]
+    out += [f"{head('length', c, 'NULL')}, {some(f'length({c}) > {n}')}" for c, n in catalogue.text_lengths(table).items() if c in names]
+    out += [f"""{head('pk', k, k)}, CAST(COUNT(*) AS BIGINT) AS n FROM t_{table} GROUP BY {k} HAVING COUNT(*) > 1"""
+            for k in catalogue.primary_key(table)]
+    out += [f"""{head('fk', c, 'v')}, CAST(n AS BIGINT) AS n FROM (SELECT {c} AS v, COUNT(*) AS n FROM t_{table} WHERE {c} IS NOT NULL
+        GROUP BY 1) x WHERE v NOT IN (SELECT {pc} FROM t_{pt} WHERE {pc} IS NOT NULL)"""
+            for t, c, pt, pc in catalogue.foreign_keys() if t == table and pt in _BUILT and c in names]
+    span = catalogue.date_columns(table)
+    if span:
+        rules = {"start_missing": "s IS NULL", "end_before_start": "e < s", "start_before_birth": "s < p.birth_datetime",
+                 "start_after_death": "s > d.death", "end_after_death_grace": "e > d.death + INTERVAL 60 DAY"}
+        out += [f"""SELECT 'date', '{table}', '{rule}', CAST(NULL AS VARCHAR), CAST(COUNT(*) AS BIGINT)
+            FROM (SELECT person_id, CAST({span[0]} AS TIMESTAMP) AS s, CAST({span[1]} AS TIMESTAMP) AS e FROM t_{table}) x
+            LEFT JOIN t_PERSON p ON x.person_id = p.person_id
+            LEFT JOIN (SELECT person_id, CAST(MIN(death_date) AS TIMESTAMP) AS death FROM t_DEATH GROUP BY 1) d
+              ON x.person_id = d.person_id WHERE {test} HAVING COUNT(*) > 0""" for rule, test in rules.items()]
+    return out
+
+
+CDM_CONSTRAINTS = ("WITH " + ", ".join(f"t_{t} AS MATERIALIZED ({sql})" for t, sql in _BUILT.items()) + " "
+                   + " UNION ALL ".join(q for t in _BUILT for q in _violations(t)))
 
 ORACLE_SQL["cdm_constraints"] = CDM_CONSTRAINTS
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from omoplate import catalogue
 from omoplate.functions.text import normalize_text
 from omoplate.operators import conform as cf
 from omoplate.operators import intervals as iv
@@ -22,7 +23,7 @@ from omoplate.operators import visits as vi
 from omoplate.operators import vocab as vo
 from omoplate.plans import condition_occurrence, drug_exposure, measurement, observation_period, visit_occurrence
 from omoplate.plans import dimensions as dims
-from omoplate.session import ensure_checkpoint_dir
+from omoplate.session import cut_lineage, ensure_checkpoint_dir
 from omoplate.sources import delimited as dl
 from omoplate.sources import testdata as td
 
@@ -379,13 +380,26 @@ QUERIES.update({"csv_ingest": q_csv_ingest, "normalize_text": q_normalize_text,
 
 
 def q_cdm_constraints(spark: SparkSession, sf: str) -> DataFrame:
-    """Q1/Q2 over the dimension tables built here and a CONCEPT table."""
-    tables = {"PERSON": q_person(spark, sf), "LOCATION": q_location(spark, sf),
-              "PROVIDER": q_provider(spark, sf), "DEATH": q_death(spark, sf),
-              "OBSERVATION_PERIOD": q_observation_period(spark, sf), "CONCEPT": td.concept(spark, sf)}
-    return qa.validate_cdm(tables)
+    """Q1-Q5 over every table built here, two of the catalogue's others (S11) and the vocabulary."""
+    tables = {"PERSON": q_person, "LOCATION": q_location, "PROVIDER": q_provider, "DEATH": q_death,
+              "OBSERVATION_PERIOD": q_observation_period, "VISIT_OCCURRENCE": q_visit_occurrence,
+              "CONDITION_OCCURRENCE": q_condition, "DRUG_EXPOSURE": q_drug, "MEASUREMENT": q_measurement,
+              "CONCEPT": td.concept, "CONCEPT_RELATIONSHIP": td.concept_relationship, "VOCABULARY": td.vocabulary,
+              "DOMAIN": td.domain, "CARE_SITE": q_care_site, "PROCEDURE_OCCURRENCE": q_procedure}
+    # a table is child and parent: build each once
+    return qa.validate_cdm({t: cut_lineage(make(spark, sf)) for t, make in tables.items()})
 
 
+def q_care_site(spark: SparkSession, sf: str) -> DataFrame:
+    return cf.format_table(td.care_sites(spark, sf), catalogue.schema("CARE_SITE"))
+
+
+def q_procedure(spark: SparkSession, sf: str) -> DataFrame:
+    """P2-P4 with a schema of the catalogue."""
+    return cf.format_table(td.procedures(spark, sf), catalogue.schema("PROCEDURE_OCCURRENCE"))
+
+
+QUERIES.update({"care_site": q_care_site, "procedure": q_procedure})
 QUERIES["cdm_constraints"] = q_cdm_constraints
 
 

@@ -91,6 +91,38 @@ def concept_relationship(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VOCABULARY from the brands, without those whose number ends in 5."""
+    part = table(spark, sf_dir, "part").filter(~F.col("p_brand").endswith("5"))
+    return part.groupBy(F.col("p_brand").alias("vocabulary_id")).agg(
+        F.concat(F.lit("The vocabulary "), F.first("p_brand")).alias("vocabulary_name"),
+        F.min("p_partkey").cast("long").alias("vocabulary_concept_id"))
+
+
+def domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DOMAIN from the part types; the concepts of the domains do not exist."""
+    return table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("domain_id")).agg(
+        F.first("p_type").alias("domain_name"), (-F.max("p_partkey")).cast("long").alias("domain_concept_id"))
+
+
+def care_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("care_site_id"), F.col("n_name").alias("care_site_name"),
+        (F.col("n_nationkey") * 7).cast("long").alias("location_id"),
+        (F.col("n_nationkey") * 100).cast("long").alias("place_of_service_concept_id"),
+        F.repeat("n_name", F.lit(8)).alias("care_site_source_value"))
+
+
+def procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line item is a procedure: several share an id, every second concept is missing, some have no concept."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("long").alias("procedure_occurrence_id"), (F.col("l_suppkey") * 3).cast("long").alias("person_id"),
+        (F.col("l_partkey") * 2).cast("long").alias("procedure_concept_id"), F.to_date("l_shipdate").alias("procedure_date"),
+        F.date_sub(F.to_date("l_shipdate"), (F.col("l_linenumber") - 3).cast("int")).alias("procedure_end_date"),
+        F.col("l_linenumber").cast("long").alias("procedure_type_concept_id"), F.col("l_suppkey").cast("long").alias("provider_id"),
+        F.when(F.col("l_linenumber") > 2, F.col("l_linenumber") + 40).cast("long").alias("visit_occurrence_id"))
+
+
 # -- vocabulary-shaped inputs ---------------------------------------------------
 
 def mapping_data(spark: SparkSession, sf_dir: str) -> DataFrame:
