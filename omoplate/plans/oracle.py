@@ -658,3 +658,9 @@ ORACLE_SQL.update({
     "csv_ingest_hard": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, '"; ' || replace(text, '.', '."";') || '"' AS text
         FROM documents""",
 })
+
+ORACLE_SQL["csv_rejects"] = """
+    WITH r AS (SELECT o_orderkey AS k, o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) ELSE ' ' END || '"so" ; text' AS t,
+      CASE WHEN o_orderkey % 7 = 0 THEN '|EXTRA' ELSE '' END || CASE WHEN o_orderkey % 11 = 0 THEN '||X' ELSE '' END AS more FROM orders)
+    SELECT CAST(k AS VARCHAR) AS o_orderkey, (2 + length(more) - length(replace(more, '|', ''))) || ' fields instead of 2' AS reason,
+      k || '|' || t || more AS record FROM r WHERE more <> ''"""

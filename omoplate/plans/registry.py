@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -513,18 +514,37 @@ def q_coerced_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_csv_ingest_hard(spark: SparkSession, sf: str) -> DataFrame:
-    """S1 on whole document texts: separators, doubled quotes and line breaks inside quoted fields."""
+    """S1 on whole document texts: separators, doubled quotes and line breaks inside quoted fields, in files of
+    several splits."""
     folder = _folder(spark, "texts")
     docs = td.table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.concat(F.lit('"; '), F.regexp_replace("text", r"\.", '."";'), F.lit('"')).alias("text"))
     docs.write.options(header=True, sep=";", quoteAll=True, escape='"', ignoreLeadingWhiteSpace=False,
                        ignoreTrailingWhiteSpace=False).csv(folder)
-    return dl.read_delimited(spark, folder, {"sep": ";", "multiline": True})
+    return dl.read_delimited(spark, folder, {"sep": ";"})
+
+
+def q_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What a read leaves out. Orders as raw text with quoted line breaks; some have a field too many, some an
+    empty one and another behind it."""
+    folder, key = _folder(spark, "rejects"), F.col("o_orderkey")
+    lines = td.table(spark, sf, "orders").select(F.concat(
+        key.cast("string"), F.lit(';"'), "o_orderpriority", F.when(key % 3 == 0, F.lit("\n")).otherwise(F.lit(" ")),
+        F.lit('""so"" ; text"'), F.when(key % 7 == 0, F.lit(";EXTRA")).otherwise(F.lit("")),
+        F.when(key % 11 == 0, F.lit(";;X")).otherwise(F.lit(""))).alias("value"))
+
+    def titled(batches):  # every file of an extract has its header
+        yield pa.RecordBatch.from_pydict({"value": ["order;priority"]})
+        yield from batches
+
+    lines.mapInArrow(titled, "value string").write.text(folder)
+    found = dl.rejected_records(spark, folder, {"sep": ";"})
+    return found.select(F.get("fields", F.lit(0)).alias("o_orderkey"), "reason", F.array_join("fields", "|").alias("record"))
 
 
 QUERIES.update({"conform_schema": q_conform_schema, "transform_registry": q_transform_registry, "gender": q_gender,
                 "provider_link": q_provider_link, "cohort_definition": q_cohort_definition,
                 "unmapped_conditions": q_unmapped_conditions, "vocabulary_load": q_vocabulary_load,
                 "parquet_roundtrip": q_parquet_roundtrip, "coerced_dates": q_coerced_dates,
-                "csv_ingest_hard": q_csv_ingest_hard})
+                "csv_ingest_hard": q_csv_ingest_hard, "csv_rejects": q_csv_rejects})

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import itertools
 import re
+import warnings
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from omoplate.functions.dates import parse_datetime, try_parse_datetime
 from omoplate.functions.text import ID_COLUMN_MARKERS, matches_id_format
+from omoplate.sources.records import Dialect, can_read, header, read_records
 
 # Reader option names of the configuration files and the Spark
 # CSV option each becomes.
@@ -20,7 +22,7 @@ OPTION_NAMES = {"sep": "sep", "delimiter": "sep", "encoding": "encoding", "quote
                 "escapechar": "escape", "comment": "comment", "multiline": "multiLine"}
 # Options that change nothing in a read where every column is text and is pruned by use.
 NEUTRAL_OPTIONS = ("dtype", "nrows", "usecols", "low_memory", "engine", "decimal", "thousands", "keep_default_na",
-                   "na_values", "on_bad_lines")
+                   "na_values", "on_bad_lines", "skiprows")
 # Spellings that count as missing unless keep_default_na is off.
 NA_SPELLINGS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
                 "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -76,20 +78,104 @@ def _missing_values(options: Mapping) -> list[str]:
     return own + (list(NA_SPELLINGS) if options.get("keep_default_na", True) else [])
 
 
+def _as_missing(names: Sequence[str], values: Sequence[Column], options: Mapping, fault: Column, text: Column) -> list[Column]:
+    """The columns with the spellings of missing values nulled; a fault, unless rows are left out for it, raises
+    in every column, so that no projection prunes the check away."""
+    missing, cols = _missing_values(options), []
+    for name, value in zip(names, values):
+        value = F.when(~value.isin(missing), value)
+        if options.get("on_bad_lines", "error") == "error":
+            value = F.when(fault, F.raise_error(text).cast("string")).otherwise(value)
+        cols.append(value.alias(name))
+    return cols
+
+
+def column_names(header: Sequence[str]) -> list[str]:
+    """Names of a header: an empty one is called after its place, a repeated one gets a number behind it."""
+    out: list[str] = []
+    for i, name in enumerate(header):
+        name = name or f"Unnamed: {i}"
+        n, own = 0, name
+        while own in out:
+            n += 1
+            own = f"{name}.{n}"
+        out.append(own)
+    return out
+
+
+def _dialect(options: Mapping) -> Dialect | None:
+    """How records are cut, or None where only Spark's reader can: wide encodings, comments, long separators."""
+    opts = spark_csv_options(options)
+    skip = options.get("skiprows") or 0
+    if not isinstance(skip, int):
+        raise ValueError("skiprows must be a number of lines")
+    sep, quote = opts.get("sep", ","), opts["quote"]
+    sep = {"\\t": "\t"}.get(sep, sep)
+    escape = opts["escape"] if opts["escape"] != quote else None
+    encoding = opts.get("encoding", "utf-8")
+    if "comment" in opts or not can_read(encoding, sep, quote, escape):
+        if skip:
+            raise ValueError("skiprows cannot be combined with comments, wide encodings or long separators")
+        return None
+    return Dialect(sep, quote, escape, encoding, skip)
+
+
+def _read_records(spark: SparkSession, path: str, options: Mapping, dialect: Dialect) -> tuple[DataFrame, list[str], Column, Column]:
+    """Records, column names, which are at fault, and why."""
+    first = header(spark, path, dialect)
+    titled = spark_csv_options(options)["header"] == "true"
+    names = column_names(first) if titled else [f"_c{i}" for i in range(len(first))]
+    found = read_records(spark, path, dialect)
+    if titled:
+        found = found.filter("kind <> 'header'")
+    n = F.size("fields")
+    why = F.when(F.col("kind") == "open", F.lit("no closing quote")).when(
+        n > len(names), F.concat(n.cast("string"), F.lit(f" fields instead of {len(names)}")))
+    return found, names, F.coalesce(why.isNotNull(), F.lit(False)), why
+
+
+def rejected_records(spark: SparkSession, path: str, options: Mapping | None = None) -> DataFrame:
+    """The records that ``read_delimited`` leaves out with ``on_bad_lines`` of ``skip`` or ``warn``, and
+    fails on otherwise: ``file`` (its name), ``line`` (of the file, from 1), ``reason``, ``fields``."""
+    options = options or {}
+    dialect = _dialect(options)
+    if dialect is None:
+        raise ValueError("rejects need records that can be cut line by line (no comments, wide encodings or long separators)")
+    found, _, fault, why = _read_records(spark, path, options, dialect)
+    return found.filter(fault).select(F.regexp_extract("file", "[^/]*$", 0).alias("file"), "line", why.alias("reason"), "fields")
+
+
 def read_delimited(spark: SparkSession, path: str, options: Mapping | None = None, strict: bool = False) -> DataFrame:
     """S1 (read): every column as text.
 
-    A row with more fields than the header fails the job when it is read,
-    or is left out with ``on_bad_lines: skip``; missing fields at the end
-    are null, and so are the spellings of ``na_values`` and, unless
-    ``keep_default_na`` is off, of ``NA_SPELLINGS``. ``multiline`` allows
-    line breaks in quoted fields; such a file is read by one task, so it is
-    not the default. ``strict`` makes rows with too few fields fail too.
-
-    Other single-byte encodings (``latin9``, ``cp1252``) are read as Latin-1,
-    and the characters that differ are then replaced.
+    Quoted fields may hold line breaks; files are still read split by split
+    (``sources.records``), and ``multiline`` is accepted and changes nothing.
+    A record with more fields than the header, or whose quote is not closed
+    before the file ends, fails the job when it is read; with
+    ``on_bad_lines`` of ``skip`` or ``warn`` it is left out and
+    ``rejected_records`` has it. Missing fields at the end are null, and so
+    are the spellings of ``na_values`` and, unless ``keep_default_na`` is
+    off, of ``NA_SPELLINGS``. ``skiprows`` lines at the start of each file
+    are passed over; they must lie in its first split. Blank lines are no
+    records. Repeated header names are numbered (``id``, ``id.1``). A
+    carriage return alone is no line break: it fails the job outside quotes.
+    ``strict`` makes rows with too few fields fail too.
+
+    Comments, UTF-16, UTF-32 and separators of several characters are left
+    to Spark's reader, which takes line breaks in quotes only with
+    ``multiline``, and then a file as one task. There, and with ``strict``,
+    single-byte encodings other than Latin-1 are read as it, and the
+    characters that differ are then replaced.
     """
     options = options or {}
+    dialect = None if strict else _dialect(options)
+    if dialect is not None:
+        found, names, fault, why = _read_records(spark, path, options, dialect)
+        if options.get("on_bad_lines") in ("skip", "warn"):
+            found = found.filter(~fault)
+        text = F.concat(F.col("file"), F.lit(", line "), F.col("line").cast("string"), F.lit(": "), why, F.lit(": "),
+                        F.substring(F.coalesce(F.array_join("fields", dialect.sep), F.lit("")), 1, 200))
+        return found.select(*_as_missing(names, [F.get("fields", F.lit(i)) for i in range(len(names))], options, fault, text))
     opts = spark_csv_options(options)
     read_as, meant = "", ""
     if opts.get("encoding", "utf-8").lower() not in STANDARD_CHARSETS:
@@ -108,20 +194,11 @@ def read_delimited(spark: SparkSession, path: str, options: Mapping | None = Non
     if read_as:
         rows = rows.select(*(F.translate(F.col(f"`{c}`"), read_as, meant).alias(c) for c in rows.columns))
     surplus = F.col(SURPLUS).isNotNull()
-    if options.get("on_bad_lines") == "skip":
+    if options.get("on_bad_lines") in ("skip", "warn"):
         rows = rows.filter(~surplus)
-        checked = None
-    else:
-        checked = F.raise_error(F.concat(F.lit("row with more fields than the header, the first of them: "), SURPLUS))
-    missing = _missing_values(options)
     names = [c for c in rows.columns if c != SURPLUS]
-    cols = []
-    for i, c in enumerate(names):
-        value = F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`"))
-        if checked is not None:  # on every column, so that no projection prunes the check away
-            value = F.when(surplus, checked.cast("string")).otherwise(value)
-        cols.append(value.alias(c))
-    return rows.select(*cols)
+    text = F.concat(F.lit("row with more fields than the header, the first of them: "), F.col(SURPLUS))
+    return rows.select(*_as_missing(names, [F.col(f"`{c}`") for c in names], options, surplus, text))
 
 
 def parse_dates(df: DataFrame, formats: Mapping[str, str | Mapping]) -> DataFrame:
@@ -158,7 +235,8 @@ def ingest_files(spark: SparkSession, files: Mapping[str, str], params: Mapping,
                         out_dir: str | None = None) -> dict[str, DataFrame]:
     """Per file, read with its own options, parse its date columns (those
     with values that do not parse are coerced), and (when ``out_dir`` is
-    given) write one parquet table per file.
+    given) write one parquet table per file, and beside it, with
+    ``on_bad_lines: warn``, the records left out.
 
     ``params[name] = {"read": {...}, "dates": {column: format | spec}}``.
     """
@@ -171,6 +249,11 @@ def ingest_files(spark: SparkSession, files: Mapping[str, str], params: Mapping,
             target = f"{out_dir.rstrip('/')}/{name}"
             write_parquet(df, target)
             df = spark.read.parquet(target)
+            if (cfg.get("read") or {}).get("on_bad_lines") == "warn":
+                write_parquet(rejected_records(spark, path, cfg["read"]), f"{target}_rejected")
+                n = spark.read.parquet(f"{target}_rejected").count()
+                if n:
+                    warnings.warn(f"{n} records of {path} were left out, see {target}_rejected", stacklevel=2)
         out[name] = df
     return out
 
