@@ -28,6 +28,9 @@ HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
 TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>]+)"
 TRACKING = r"(?i)(^|&)utm_[^&]*"
+#: What is no markup of the page, though it may look so: comments, scripts and styles, closed or not.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+AMPERSAND = r"(?i)&(?:amp|#38|#x26);"
 
 
 def _rest(url: Column) -> Column:
@@ -64,14 +67,15 @@ def _absolute(target: Column) -> Column:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``a, b``: URLs that a page declares to be the same, as nodes."""
-    url, html = F.col("url"), F.coalesce(F.col("html").cast("string"), F.lit(""))
-
-    def found(word: str, tag: str, attribute: str) -> Column:
-        return F.when(html.rlike(f"(?i){word}"), F.regexp_extract(F.regexp_extract(html, tag, 0), attribute, 1))
-
-    targets = F.array(found("canonical", CANONICAL, HREF), found("refresh", REFRESH, TARGET))
-    found_links = pages.select(url.alias("url"), F.explode(targets).alias("t")).filter("t <> ''")
+    """``a, b``: URLs that a page declares to be the same, as nodes. Links in comments, scripts and styles are
+    none, and a character reference for an ampersand is one."""
+    url, html = F.col("url"), F.col("html").cast("string")
+    named = pages.select(url.alias("url"), html.alias("html")).filter(html.rlike("(?i)canonical|refresh"))
+    shown = named.select("url", F.regexp_replace("html", HIDDEN, " ").alias("shown"))
+    found = lambda tag, attribute: F.regexp_extract(F.regexp_extract("shown", tag, 0), attribute, 1)
+    targets = F.array(found(CANONICAL, HREF), found(REFRESH, TARGET))
+    found_links = shown.select("url", F.explode(targets).alias("raw")).filter("raw <> ''").select(
+        "url", F.regexp_replace("raw", AMPERSAND, "&").alias("t"))
     # one step at a time: in one expression the URL's parts would be cut out over and over
     steps = found_links.select("t", node_of(url).alias("a"), F.regexp_extract(url, r"^(.*?)://", 1).alias("scheme"),
                                host_of(url).alias("host"), path_of(url).alias("path")).filter("a is not null")
@@ -99,7 +103,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, redirects:
     ``redirects`` (from_url, to_url) adds edges. A URL without a rule and
     without a judged alias is allowed; so is a null URL or text without
     ``://``, whose host and path are empty and which has no aliases. Null
-    html has no links. Rows repeat as they come. An empty table gives no
+    html has no links; html of any length is searched whole. Rows repeat as they come. An empty table gives no
     rows; other columns are ignored.
     """
     ready(pages.sparkSession)
@@ -139,13 +143,15 @@ ORACLE_SQL = {
               FROM cut),
         n AS (SELECT *, CASE WHEN instr(url, '://') > 0
                         THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS node FROM p),
+        shown AS (SELECT node, host, path, regexp_replace(html, '{HIDDEN}', ' ', 'g') AS html
+                  FROM n WHERE node IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
         links AS (
-            SELECT node AS a, host, path, unnest([
+            SELECT node AS a, host, path, regexp_replace(unnest([
                 regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
                                '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
                 regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
-                               '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) AS t
-            FROM n WHERE node IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
+                               '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]), '{AMPERSAND}', '&', 'g') AS t
+            FROM shown),
         ends AS (SELECT a, CASE WHEN instr(t, '://') > 0 THEN substr(t, instr(t, '://') + 3)
                                 WHEN starts_with(t, '//') THEN substr(t, 3)
                                 WHEN starts_with(t, '/') THEN host || t

@@ -251,3 +251,18 @@ def test_given_redirects(spark):
     moved = spark.createDataFrame([("http://a.com/", "https://t.co/1"), ("https://t.co/1", "http://b.net/"), (None, "http://a.com/")],
                                   "from_url string, to_url string")
     assert {r.page_id: r.verdict for r in url_filter.judge(df, redirects=moved).collect()} == {1: "block", 2: "block"}
+
+
+def test_links_are_those_the_page_shows(spark):
+    pages = [(1, "http://x.net/a", ""), (2, "http://c.com/y", '<!-- <link rel="canonical" href="http://x.net/a"> -->'),
+             (3, "http://c.com/z", '<script>s = \'<link rel="canonical" href="http://x.net/a">\';</script>'),
+             (4, "http://c.com/w", '<style><link rel=canonical href="http://x.net/a">'),
+             (5, "http://x.net/p?x=1&y=2", None), (6, "http://c.com/q", '<link rel="canonical" href="http://x.net/p?x=1&amp;y=2">'),
+             (7, "http://c.com/r", '<!-- no --><LINK rel=canonical href=http://x.net/p?x=1&#38;y=2><script>refresh</script>'),
+             (8, "http://c.com/s", "word " * 200_000 + '<link rel="canonical" href="http://x.net/a">')]
+    df = spark.createDataFrame([(*p, "r", "v") for p in pages], "page_id long, url string, html string, rule string, verdict string")
+    got = {r.page_id: r.verdict for r in url_filter.judge(df).collect()}
+    assert [i for i, v in sorted(got.items()) if v == "block"] == [1, 5, 6, 7, 8]
+    con = duckdb.connect()
+    con.register("pages", df.drop("rule", "verdict").toPandas())
+    assert {r[0]: r[4] for r in con.execute(url_filter.ORACLE_SQL["op8_url_filter"]).fetchall()} == got
