@@ -12,7 +12,7 @@ from omoplate.operators.sizing import broadcast_if_small
 from omoplate.session import cut_lineage, ensure_checkpoint_dir
 
 __all__ = ["broadcast_if_small", "crc32_sql", "cut_lineage", "ensure_checkpoint_dir", "doc_texts", "drop_ids", "parts_for",
-           "plan_bytes", "ready", "table"]
+           "plan_bytes", "ready", "table", "tasks_for"]
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -47,6 +47,12 @@ def parts_for(df: DataFrame, bytes_each: int) -> int:
     return max(1, -(-plan_bytes(df) // bytes_each))
 
 
+def tasks_for(spark: SparkSession, n_groups: int, each: int) -> int:
+    """Partitions for so many groups: ``each`` groups a task, so tasks do not grow with the input; fewer where the
+    session's shuffles would have tasks without a group."""
+    return max(1, -(-n_groups // each), min(n_groups, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without the rows whose doc_id is in ``ids``; rows without a doc_id stay. The ids
     are broadcast only if counted few, else both sides are shuffled."""

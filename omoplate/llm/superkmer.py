@@ -9,12 +9,14 @@ the windows are sorted and the smallest doc_id of each is found exactly
 (equal hashes are compared word by word).
 
 A frequent word pair may be the minimiser of far more windows than a bucket
-should hold. So windows are counted first, in a fixed number of cells of
-their minimiser, and in as many of their two smallest pair hashes. Windows
-of a cell over ``HEAVY_WINDOWS`` go by the two smallest hashes instead, and
-if that cell is over it too, each by the hash of all its words. All of this
-follows from the window and the counts, so equal windows still meet; the
-runs of super-k-mers are cut where it changes.
+should hold. So windows are counted first, by their minimiser and by their
+two smallest pair hashes. A task counts ``PIECE_BYTES`` of text at a time and
+sends on what it met ``LEAST_COUNT`` times there, so the counts are a small
+share of the text at any size, and a sum is too low by less than
+``LEAST_COUNT`` a piece. Windows of a minimiser over ``HEAVY_WINDOWS`` go by
+the two smallest hashes instead, and if that pair is over it too, each by the
+hash of all its words. All of this follows from the window and the counts, so
+equal windows still meet; the runs of super-k-mers are cut where it changes.
 
 Rows are dealt into chunks by doc_id and text, so rows without a doc_id, or
 of one that repeats, are spread; only equal rows stay together. A chunk sends each distinct
@@ -32,26 +34,30 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from omoplate.llm.common import doc_texts, parts_for, ready, table
+from omoplate.llm.common import doc_texts, ready, table, tasks_for
 
 WINDOW = 13
 #: Words whose hash is a minimiser candidate.
 SEED_WORDS = 2
 #: Most windows of one super-k-mer; longer runs (a text of one word) are cut.
 MOST_WINDOWS = 256
-#: Most windows of a cell that are not split.
+#: Most windows of a minimiser that are not split.
 HEAVY_WINDOWS = 1 << 20
-#: Cells a bucket, and at least.
-BUCKET_CELLS, LEAST_CELLS = 16, 1 << 12
-#: Bytes of text that are counted at a time.
-COUNT_BYTES = 2 << 20
-CHUNK_BYTES = 6 << 20
-BUCKET_BYTES = 6 << 20
+#: Bytes of text that are cut at a time while counting, and whose counts are summed before they are sent.
+COUNT_BYTES, PIECE_BYTES = 2 << 20, 32 << 20
+#: Windows of a key in one piece from which on they are reported.
+LEAST_COUNT = 16
+#: Bytes of text of a chunk, and for which there is a bucket; both are counted, not estimated.
+CHUNK_BYTES = 10 << 20
+BUCKET_BYTES = 10 << 20
+#: Chunks or buckets of a task, where there are many.
+GROUPS_A_TASK = 4
+#: Bytes of words that are hashed at a time.
+HASH_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 TOP = np.uint64(np.iinfo(np.uint64).max)
 
@@ -75,8 +81,44 @@ def least_two(x: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
     return a, b
 
 
-def _cells(keys: np.ndarray, n_cells: int) -> np.ndarray:
-    return (_mixed(keys) % np.uint64(n_cells)).astype(np.int64)
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTE_HASH = _mixed(np.arange(1, 257, dtype=np.uint64))
+
+
+def word_hashes(joined: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of each word of bytes that end in one space each, at ``at``."""
+    begin = np.append(0, at[:-1] + 1)
+    out = np.empty(len(at), np.uint64)
+    cuts = np.unique(np.append(np.searchsorted(begin, np.arange(0, len(joined), HASH_BYTES)), len(at)))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        first, size = begin[a:b], at[a:b] + 1 - begin[a:b]
+        powers = np.full(size.max(), 0x100000001B3, np.uint64)
+        powers[0] = 1
+        powers = np.multiply.accumulate(powers)
+        part = BYTE_HASH[joined[first[0]:at[b - 1] + 1]]
+        part *= powers[np.arange(len(part)) - np.repeat(first - first[0], size)]
+        out[a:b] = np.add.reduceat(part, first - first[0])
+    return _mixed(out)
+
+
+def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which ``keys`` are in the sorted ``some``."""
+    if not len(some):
+        return np.zeros(len(keys), bool)
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and the sums of their ``n``."""
+    order = np.argsort(keys)
+    keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[heads], np.add.reduceat(n, heads)
+
+
+def key_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))  # neighbours mostly share their key
+    return summed(keys[heads], np.diff(np.append(heads, len(keys))))
 
 
 class Chunk:
@@ -86,16 +128,19 @@ class Chunk:
         order = sorted(range(len(ids)), key=lambda i: (NO_ID if ids[i] is None else ids[i], texts[i]))
         self.ids = np.array([NO_ID if ids[i] is None else ids[i] for i in order], np.int64)
         self.known = [ids[i] is not None for i in order]
-        self.words: list[bytes] = []
-        counts = []
-        for i in order:
-            own = texts[i].encode("utf-8", "surrogatepass").split()
-            counts.append(len(own))
-            self.words += own
-        self.counts = np.array(counts, np.int64)
+        raw = [texts[i].encode("utf-8", "surrogatepass") for i in order]
+        last = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1)
+        raw = np.frombuffer(b" ".join([*raw, b""]), np.uint8)  # every text ends in a space
+        space = SPACE[raw]
+        end = np.flatnonzero(space[1:] & ~space[:-1]) + 1
+        keep = ~space
+        keep[end] = True
+        self.bytes = np.where(space, np.uint8(32), raw)[keep]  # words, each with one space behind it
+        self.joined = self.bytes.tobytes()
+        self.at = np.flatnonzero(self.bytes == 32)  # a word's end
+        self.n_words = len(self.at)
+        self.counts = np.diff(np.searchsorted(end, last), prepend=0)
         self.first = np.cumsum(self.counts) - self.counts
-        self.joined = b" ".join(self.words)
-        self.at = np.cumsum(np.fromiter(map(len, self.words), np.int64, len(self.words)) + 1) - 1  # a word's end
         self.k = k
 
     def slice(self, first: int, n: int) -> bytes:
@@ -104,13 +149,12 @@ class Chunk:
     def windows(self) -> bool:
         """Sets word_hash, and for each window start and doc, its first word and document, and low and low_two,
         its smallest pair hash and that with the second smallest. False if there are none."""
-        k, n = self.k, len(self.words)
+        k, n = self.k, self.n_words
         n_windows = np.maximum(self.counts - k + 1, 0)
         total = int(n_windows.sum())
         if not total:
             return False
-        coded = pa.array(self.words, pa.binary()).dictionary_encode()
-        h = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)[coded.indices.to_numpy()]
+        h = word_hashes(self.bytes, self.at)
         seeds = h.copy()
         for j in range(1, SEED_WORDS):
             seeds[:n - j] = _mixed(seeds[:n - j] * np.uint64(3) + h[j:])
@@ -123,20 +167,20 @@ class Chunk:
         self.low_two = _mixed(self.low * np.uint64(3) + second[self.start])
         return True
 
-    def keys(self, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What decides a window's bucket, and the windows that are keyed by all their words. ``heavy``: by level
-        and cell, whether its windows are split."""
+    def keys(self, heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """What decides a window's bucket, and the windows that are keyed by all their words. ``heavy``: by level,
+        the sorted keys whose windows are split."""
         key = self.low.copy()
-        split = np.flatnonzero(heavy[0][_cells(key, heavy.shape[1])])
+        split = np.flatnonzero(_among(key, heavy[0]))
         key[split] = self.low_two[split]
-        split = split[heavy[1][_cells(key[split], heavy.shape[1])]]
+        split = split[_among(key[split], heavy[1])]
         whole = np.zeros(len(split), np.uint64)
         for j in range(self.k):
             whole = whole * np.uint64(0x100000001B3) + _mixed(self.word_hash[self.start[split] + j])
         key[split] = whole
         return key, split
 
-    def superkmers(self, heavy: np.ndarray) -> None:
+    def superkmers(self, heavy: tuple[np.ndarray, np.ndarray]) -> None:
         """run_*: each occurrence's super-k-mer, first word, windows and document; text, bucket_key, low,
         high: the distinct ones, in order of first sight."""
         k = self.k
@@ -158,9 +202,9 @@ class Chunk:
         begin = np.where(self.run_first > 0, self.at[self.run_first - 1] + 1, 0).tolist()
         end = self.at[self.run_first + self.run_windows + k - 2].tolist()
         joined = self.joined
-        coded = pa.array([joined[a:b] for a, b in zip(begin, end)], pa.binary()).dictionary_encode()
-        self.text = coded.dictionary.to_pylist()
-        self.run_text = coded.indices.to_numpy().astype(np.int64)
+        number: dict[bytes, int] = {}
+        self.run_text = np.fromiter((number.setdefault(joined[a:b], len(number)) for a, b in zip(begin, end)), np.int64, len(begin))
+        self.text = list(number)
         self.bucket_key = np.zeros(len(self.text), np.uint64)
         self.bucket_key[self.run_text] = _mixed(low[head])
         ids = self.ids[self.run_doc]
@@ -185,7 +229,7 @@ class Chunk:
             if not x:
                 text = self.slice(f, n) if n else b""
             else:
-                text = b" ".join([w for w, r in zip(self.words[f:f + n], removed[f:f + n].tolist()) if not r])
+                text = b" ".join([w for w, r in zip(self.slice(f, n).split(b" "), removed[f:f + n].tolist()) if not r])
             gone.append(x)
             sha.append(hashlib.sha256(text).hexdigest())
         return gone, sha
@@ -221,36 +265,48 @@ def window_lows(texts: list[bytes], low: np.ndarray, k: int) -> tuple[np.ndarray
     return n_windows, out
 
 
-def heavy_cells(docs: DataFrame, k: int, n_cells: int, most: int) -> np.ndarray:
-    """By level and cell, whether more than ``most`` windows fall there. A task counts into arrays of one size and
-    only the cells above come to the driver."""
+def heavy_keys(docs: DataFrame, k: int, most: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+    """By level, the sorted keys of more than ``most`` windows, and the bytes of all texts. Only these keys come
+    to the driver: of all windows there are at most one in ``most``, by each level."""
+    least = min(LEAST_COUNT, most + 1)
+
+    def reported(counted: list) -> pa.RecordBatch:
+        levels, keys, sums = [], [], []
+        for level in (0, 1):
+            key, n = summed(*(np.concatenate([c[level][x] for c in counted]) for x in (0, 1)))
+            levels.append(np.full((n >= least).sum(), level, np.int32))
+            keys.append(key[n >= least].view(np.int64))
+            sums.append(n[n >= least])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (levels, keys, sums)], names=["level", "key", "n"])
 
     def count(batches):
-        total = np.zeros((2, n_cells), np.int64)
+        counted, texts, size, piece, whole = [], [], 0, 0, 0
 
-        def add(texts: list[str]) -> None:
+        def cut() -> None:
             c = Chunk(list(range(len(texts))), texts, k)
             if c.windows():
-                for level, keys in enumerate((c.low, c.low_two)):
-                    total[level] += np.bincount(_cells(keys, n_cells), minlength=n_cells)
+                counted.append((key_counts(c.low), key_counts(c.low_two)))
 
         for b in batches:
-            part, size = [], 0
             for t in b.column("text"):
-                part.append(t.as_py())
-                size += len(part[-1])
+                texts.append(t.as_py())
+                size += len(t.as_buffer())
                 if size >= COUNT_BYTES:
-                    add(part)
-                    part, size = [], 0
-            add(part)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(total.ravel()[cells], pa.int64())], names=["cell", "n"])
-
-    counts = doc_texts(docs).select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros((2, n_cells), bool)
-    for r in counts.filter(F.col("n") > most).select("cell").collect():
-        out[divmod(r["cell"], n_cells)] = True
-    return out
+                    cut()
+                    texts, size, piece, whole = [], 0, piece + size, whole + size
+                    if piece >= PIECE_BYTES and counted:
+                        yield reported(counted)
+                        counted, piece = [], 0
+        cut()
+        if counted:
+            yield reported(counted)
+        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([whole + size])], names=["level", "key", "n"])
+
+    counts = (doc_texts(docs).select("text").mapInArrow(count, "level int, key long, n long")
+              .groupBy("level", "key").agg(F.sum("n").alias("n")).filter((F.col("n") > most) | (F.col("level") == 2)))
+    found = counts.collect()
+    keys = tuple(np.sort(np.array([r["key"] for r in found if r["level"] == level], np.int64).view(np.uint64)) for level in (0, 1))
+    return keys, sum(r["n"] for r in found if r["level"] == 2)
 
 
 def _packed(*parts: bytes) -> bytes:
@@ -281,9 +337,10 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
     are ignored.
     """
     ready(docs.sparkSession)
-    n_chunks, n_buckets = parts_for(docs, chunk_bytes), parts_for(docs, bucket_bytes)
-    heavy = heavy_cells(docs, k, max(LEAST_CELLS, BUCKET_CELLS * n_buckets), heavy_windows)
-    dealt = dealt_texts(docs, n_chunks)
+    heavy, n_bytes = heavy_keys(docs, k, heavy_windows)
+    n_chunks, n_buckets = (max(1, -(-n_bytes // each)) for each in (chunk_bytes, bucket_bytes))
+    chunk_tasks, bucket_tasks = (tasks_for(docs.sparkSession, n, GROUPS_A_TASK) for n in (n_chunks, n_buckets))
+    dealt = dealt_texts(docs, n_chunks).repartition(chunk_tasks, "chunk")
 
     def send(t: pa.Table) -> pa.Table:
         c = Chunk(t.column("doc_id").to_pylist(), t.column("text").to_pylist(), k)
@@ -318,7 +375,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
 
     def mark(left: pa.Table, right: pa.Table) -> pa.Table:
         c = Chunk(left.column("doc_id").to_pylist(), left.column("text").to_pylist(), k)
-        removed = np.zeros(len(c.words), np.int64)
+        removed = np.zeros(c.n_words, np.int64)
         if right.num_rows:
             c.superkmers(heavy)
             own = dict(c.by_bucket(n_buckets))
@@ -337,7 +394,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             smaller = least[np.repeat(at[c.run_text[runs]], n) + step] < np.repeat(c.ids[c.run_doc[runs]], n)
             first = (np.repeat(c.run_first[runs], n) + step)[smaller]
-            steps = np.zeros(len(c.words) + 1, np.int64)
+            steps = np.zeros(c.n_words + 1, np.int64)
             np.add.at(steps, first, 1)
             np.add.at(steps, first + k, -1)
             removed = (np.cumsum(steps[:-1]) > 0).astype(np.int64)
@@ -347,7 +404,8 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, chunk_bytes: int = CHUNK_BY
                          "kept_sha256": pa.array(sha, pa.string())})
 
     sent = dealt.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, data binary")
-    told = sent.groupBy("bucket").applyInArrow(count, "chunk int, bucket int, told binary")
+    told = sent.repartition(bucket_tasks, "bucket").groupBy("bucket").applyInArrow(count, "chunk int, bucket int, told binary")
+    told = told.repartition(chunk_tasks, "chunk")
     return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         mark, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 

@@ -221,16 +221,15 @@ def test_remove_repeats(edge_docs, edge_rows, k, chunk, bucket):
     assert rows_of(superkmer.remove_repeats(edge_docs, k, chunk, bucket)) == want
 
 
-def test_rows_without_or_with_one_doc_id_are_spread(spark, monkeypatch):
+def test_rows_without_or_with_one_doc_id_are_spread(spark):
     """No chunk gets them all, and the answers are those of brute force."""
     rng = np.random.default_rng(4)
     text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 12, 40))
     rows = [(i, text()) for i in [None] * 60 + [8] * 60 + list(range(20))]
     docs = documents(spark, rows)
-    monkeypatch.setattr(superkmer, "parts_for", lambda df, size: 16)
     chunks = superkmer.dealt_texts(docs, 16).groupBy("chunk").count().collect()
     assert len(chunks) > 8 and max(r["count"] for r in chunks) < 50
-    assert rows_of(superkmer.remove_repeats(docs, 3)) == repeats_by_hand(rows, 3)
+    assert rows_of(superkmer.remove_repeats(docs, 3, 1500, 1500)) == repeats_by_hand(rows, 3)
 
 
 def test_least_two():
@@ -258,13 +257,38 @@ def test_windows_of_a_frequent_pair_are_split(spark):
             windows[key] += len(text.split()) - k + 1
         return max(windows.values())
 
-    heavy = superkmer.heavy_cells(docs, k, 4096, most)
-    assert heavy.any() and largest(np.zeros_like(heavy)) > 800 and largest(heavy) <= most
+    heavy, n_bytes = superkmer.heavy_keys(docs, k, most)
+    assert n_bytes == sum(len(t) for _, t in rows)
+    none = np.zeros(0, np.uint64)
+    assert len(heavy[0]) and largest((none, none)) > 800 and largest(heavy) <= most
     want = repeats_by_hand(rows, k)
     for most in (0, 3, 60):
         assert rows_of(superkmer.remove_repeats(docs, k, 2000, 2000, heavy_windows=most)) == want
 
 
+def test_words_and_their_hashes(monkeypatch):
+    """Words as bytes are split at the six white spaces, and equal words hash alike wherever they lie."""
+    monkeypatch.setattr(superkmer, "HASH_BYTES", 16)
+    texts = ["", " \t\n\x0b\x0c\r", "  a\u00a0b  c\r\nd", "x" * 40 + " a " + "x" * 40, "\u2003a", "a c", "\x1c\x85"]
+    c = superkmer.Chunk(list(range(len(texts))), texts, 13)
+    words = [t.encode().split() for t in texts]
+    assert c.counts.tolist() == [len(w) for w in words]
+    flat = [w for own in words for w in own]
+    assert [c.slice(i, 1) for i in range(c.n_words)] == flat
+    hashes = superkmer.word_hashes(c.bytes, c.at).tolist()
+    assert len(set(zip(flat, hashes))) == len(set(flat)) == len(set(hashes))
+
+
+def test_heavy_keys_are_counted_over_pieces(spark, monkeypatch):
+    """A key is found by its sum over tasks and pieces, by as much as the pieces leave out too low."""
+    monkeypatch.setattr(superkmer, "COUNT_BYTES", 200)
+    monkeypatch.setattr(superkmer, "PIECE_BYTES", 400)
+    docs = documents(spark, [(i, "same " * 60) for i in range(40)] + [(99, " ".join(f"w{i}" for i in range(500)))])
+    (low, two), _ = superkmer.heavy_keys(docs.repartition(4), 13, 40 * 48 - 1)
+    assert len(low) == len(two) == 1
+    assert [len(x) for x in superkmer.heavy_keys(docs, 13, 40 * 48)[0]] == [0, 0]
+
+
 def _pair_hashes(text):
     c = superkmer.Chunk([1], [text], superkmer.SEED_WORDS)
     c.windows()
