@@ -189,9 +189,11 @@ def map_lab_units(df: DataFrame, units: DataFrame, concept: DataFrame, concept_r
 
     ``units`` holds a lab's name in ``unit_name`` and its unit in
     ``unit_text``. Adds ``unit_source_value``, ``unit_vocabulary_id``,
-    ``unit_source_concept_id`` and ``unit_concept_id``.
+    ``unit_source_concept_id`` and ``unit_concept_id``. A table without
+    ``order_column`` gives a name's greatest value.
     """
-    texts = value_lookup(units, unit_name, unit_text).withColumnRenamed("_value", "_key")
+    by = order_column if order_column in units.columns else None
+    texts = value_lookup(units, unit_name, unit_text, by).withColumnRenamed("_value", "_key")
     edges = maps_to_lookup(concept_relationship, order_column)
     table = texts.join(unit_lookup(concept, order_column), "_key", "left")
     table = table.join(edges, table["_cid"] == edges["_c1"], "left").select("_code", "_key", "_vocab", "_cid", "_c2")
@@ -273,40 +275,33 @@ def fallback_mapping(df: DataFrame, concept: DataFrame, concept_relationship: Da
     Mapped rows are untouched. An unmapped row takes the first fallback
     vocabulary whose source concept reaches a standard concept; a row that
     reaches none ends with the last vocabulary tried and whatever source
-    concept it gave. Returns the data and the still-unmapped condition.
+    concept it gave. The vocabularies are put in order on their own side, so
+    the data meet one lookup however many there are. Returns the data and
+    the still-unmapped condition.
     """
     vocabs = list(fallback_vocabs.items())
     if not vocabs:
         return df, unmapped(concept_id_column)
-    edges = maps_to_lookup(concept_relationship, order_column)
-    was_unmapped = unmapped(concept_id_column, _is_string(df, concept_id_column))
-    out = df.withColumn("_fb_open", was_unmapped)
+    last = vocabs[-1][0]
+    found = standard_lookup(concept, concept_relationship, fallback_vocabs, order_column)
+    place = literal_lookup(found, "_vocab", {vocab: i for i, (vocab, _) in enumerate(vocabs)})
+    # one row a key: the first vocabulary in which it reaches a standard concept, and what the last one gives
+    lookup = found.groupBy("_key").agg(
+        F.min(F.when(F.col("_std") != 0, F.struct(place.alias("_place"), "_vocab", "_cid", "_std"))).alias("_hit"),
+        F.max(F.when(F.col("_vocab") == last, F.col("_cid"))).alias("_last"))
+    out = df.withColumn("_fb_open", unmapped(concept_id_column, _is_string(df, concept_id_column)))
     # rows that are mapped already get keys that match nothing and lie apart, not one null for all
     text = F.col(source_value_column).cast("string")
     closed = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*df.columns), F.lit(4096)).cast("string"))
-    retried = F.when(F.col("_fb_open"), text).otherwise(closed)
-    for i, (vocab, target) in enumerate(vocabs):
-        cand = source_value_lookup(concept, {vocab: target}, order_column).select(
-            F.col("_key").alias(f"_fk{i}"), F.col("_cid").alias(f"_fs{i}"))
-        cand = cand.join(edges, cand[f"_fs{i}"] == edges["_c1"], "left").select(
-            f"_fk{i}", f"_fs{i}", F.coalesce(F.col("_c2"), F.lit(0)).alias(f"_fc{i}"))
-        out = lookup_join(out, cand, [(retried, f"_fk{i}")])
-        out = out.withColumn(f"_fc{i}", F.coalesce(F.col(f"_fc{i}"), F.lit(0)))
-    last = len(vocabs) - 1
-    vocab_e, src_e, std_e = F.lit(vocabs[last][0]), F.col(f"_fs{last}"), F.col(f"_fc{last}")
-    for i in range(last - 1, -1, -1):
-        hit = F.col(f"_fc{i}") != 0
-        vocab_e = F.when(hit, F.lit(vocabs[i][0])).otherwise(vocab_e)
-        src_e = F.when(hit, F.col(f"_fs{i}")).otherwise(src_e)
-        std_e = F.when(hit, F.col(f"_fc{i}")).otherwise(std_e)
-    open_ = F.col("_fb_open")
+    out = lookup_join(out, lookup, [(F.when(F.col("_fb_open"), text).otherwise(closed), "_key")])
+    hit, open_ = F.col("_hit").isNotNull(), F.col("_fb_open")
     out = out.withColumns({
-        vocabulary_id_column: F.when(open_, vocab_e).otherwise(F.col(vocabulary_id_column)),
-        source_concept_id_column: F.when(open_, src_e).otherwise(F.col(source_concept_id_column)).cast("long"),
-        concept_id_column: F.when(open_, std_e).otherwise(F.col(concept_id_column)).cast("long"),
+        vocabulary_id_column: F.when(open_, F.coalesce("_hit._vocab", F.lit(last))).otherwise(F.col(vocabulary_id_column)),
+        source_concept_id_column: F.when(open_ & hit, F.col("_hit._cid")).when(open_, F.col("_last"))
+        .otherwise(F.col(source_concept_id_column)).cast("long"),
+        concept_id_column: F.when(open_, F.coalesce("_hit._std", F.lit(0))).otherwise(F.col(concept_id_column)).cast("long"),
     })
-    helper = ["_fb_open"] + [f"_f{x}{i}" for i in range(len(vocabs)) for x in "sc"]
-    return out.drop(*helper), unmapped(concept_id_column)
+    return out.drop("_fb_open", "_hit", "_last"), unmapped(concept_id_column)
 
 
 # -- J8 / J9 ------------------------------------------------------------------

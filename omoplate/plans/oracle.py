@@ -651,6 +651,9 @@ ORACLE_SQL.update({
     "vocabulary_load": """SELECT CAST(p_partkey AS BIGINT) AS concept_id, '5" ' || p_name || ' "x' AS concept_name,
         p_brand AS vocabulary_id, 'C' || CAST(p_partkey AS VARCHAR) AS concept_code, DATE '1970-01-01' AS valid_start_date
         FROM part""",
+    "vocabulary_last_wins": """SELECT 'C' || CAST(o_custkey AS VARCHAR) AS concept_code,
+        CAST(coalesce(1000000000 + min(o_orderkey) FILTER (WHERE o_orderstatus = 'F'), max(o_orderkey)) AS BIGINT) AS concept_id
+        FROM orders GROUP BY o_custkey""",
     "parquet_roundtrip": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate FROM lineitem",
     "coerced_dates": """SELECT o_orderkey,
         CASE WHEN o_orderkey % 10 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END AS fec,

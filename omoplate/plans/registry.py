@@ -499,6 +499,22 @@ def q_vocabulary_load(spark: SparkSession, sf: str) -> DataFrame:
     return dl.read_vocabulary(spark, folder, T.StructType.fromDDL(VOCABULARY_SCHEMA))
 
 
+def q_vocabulary_last_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as a vocabulary of two files, a customer being the repeated key; the last row of the last file wins."""
+    orders, later = td.table(spark, sf, "orders"), 1_000_000_000
+    columns = [F.lit("name").alias("concept_name"), F.lit("ORDERS").alias("vocabulary_id"),
+               F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("concept_code"), F.lit("19700101").alias("valid_start_date")]
+    parts = [(orders.orderBy("o_orderkey"), F.col("o_orderkey").cast("long")),
+             (orders.filter("o_orderstatus = 'F'").orderBy(F.desc("o_orderkey")), F.col("o_orderkey").cast("long") + later)]
+    folder = _folder(spark, "vocabulary")
+    paths = [f"{folder}/{i}" for i in range(len(parts))]
+    for (rows, concept_id), path in zip(parts, paths):
+        rows.select(concept_id.alias("concept_id"), *columns).write.option("sep", "\t").option("header", True).csv(path)
+    concept = dl.read_vocabulary(spark, paths, T.StructType.fromDDL(VOCABULARY_SCHEMA), order_column="place")
+    found = vo.source_value_lookup(concept, {"ORDERS": "concept_code"}, "place")
+    return found.select(F.col("_key").alias("concept_code"), F.col("_cid").alias("concept_id"))
+
+
 def q_parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """The line items written and read back."""
     folder = _folder(spark, "table")
@@ -547,4 +563,5 @@ QUERIES.update({"conform_schema": q_conform_schema, "transform_registry": q_tran
                 "provider_link": q_provider_link, "cohort_definition": q_cohort_definition,
                 "unmapped_conditions": q_unmapped_conditions, "vocabulary_load": q_vocabulary_load,
                 "parquet_roundtrip": q_parquet_roundtrip, "coerced_dates": q_coerced_dates,
-                "csv_ingest_hard": q_csv_ingest_hard, "csv_rejects": q_csv_rejects})
+                "csv_ingest_hard": q_csv_ingest_hard, "csv_rejects": q_csv_rejects,
+                "vocabulary_last_wins": q_vocabulary_last_wins})

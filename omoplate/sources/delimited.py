@@ -346,11 +346,23 @@ def probe_date_formats(df: DataFrame, columns: Sequence[str], formats: Sequence[
 
 # -- S7 / S8 / S9 -------------------------------------------------------------
 
-def read_vocabulary(spark: SparkSession, path: str, schema: T.StructType, date_format: str = "yyyyMMdd") -> DataFrame:
+def read_vocabulary(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, date_format: str = "yyyyMMdd",
+                    order_column: str | None = None) -> DataFrame:
     """A vocabulary file: tab-separated, header, no quoting (the quote
-    character is set to backspace so quotes inside names survive)."""
-    return (spark.read.schema(schema).option("sep", "\t").option("quote", "\u0008")
-            .option("header", True).option("dateFormat", date_format).csv(path))
+    character is set to backspace so quotes inside names survive).
+
+    ``order_column`` adds each row's place: file by path, block of the file,
+    row of the block. Lookups that take it as their order column let the
+    last row of a repeated key win, over any number of files and splits.
+    """
+    rows = (spark.read.schema(schema).option("sep", "\t").option("quote", "\u0008")
+            .option("header", True).option("dateFormat", date_format).csv(path if isinstance(path, str) else list(path)))
+    if order_column is None:
+        return rows
+    # a task reads a block from front to back, so its growing number orders the block's rows
+    return rows.withColumn(order_column, F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")))
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -56,6 +56,23 @@ def test_date_probe_coerces(spark):
     assert dl.parse_dates(iso, {"f": "ISO8601"}).filter("f is null").count() == 0
 
 
+def test_vocabulary_rows_keep_their_place(spark, tmp_path):
+    """Over files, and splits of a file, the last row of a key is found; a greatest value would be another."""
+    for name, ids in (("b", range(900, 500, -1)), ("a", range(5000, 4000, -1))):
+        (tmp_path / f"{name}.csv").write_text("concept_id\tcode\n" + "".join(f"{i}\tk{i % 7}\n" for i in ids))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        schema = T.StructType.fromDDL("concept_id long, code string")
+        rows = dl.read_vocabulary(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema, order_column="place")
+        assert rows.select("place.file", "place.block").distinct().count() > 10
+        got = rows.groupBy("code").agg(F.max_by("concept_id", "place")).collect()
+        assert [r.concept_id for r in rows.orderBy("place").collect()] == [*range(5000, 4000, -1), *range(900, 500, -1)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {tuple(r) for r in got} == {(f"k{i % 7}", i) for i in range(501, 508)}
+
+
 def test_vocabulary_file_keeps_quotes(spark):
     folder = tempfile.mkdtemp(prefix="omoplate-vocab-")
     path = os.path.join(folder, "CONCEPT.csv")

@@ -70,6 +70,34 @@ def test_fallback_unmapped_value_kinds(spark, concept, rel):
     assert sorted((r.source_concept_id, r.concept_id) for r in out.collect()) == [(0, 0)] + [(44821949, 320128)] * 2
 
 
+def test_fallback_takes_the_first_that_reaches_a_standard_concept(spark):
+    """By hand, vocabulary after vocabulary, for every kind of key; the data meet one lookup."""
+    concept = spark.createDataFrame(
+        [(1, "A", "x"), (2, "B", "x"), (3, "B", "y"), (4, "C", "y"), (5, "C", "z"), (6, "A", "z"), (7, "A", "only")],
+        "concept_id long, vocabulary_id string, concept_code string").withColumn("concept_name", F.lit("n"))
+    rel = spark.createDataFrame([(2, "Maps to", 20), (4, "Maps to", 40), (3, "Maps to", 30), (7, "Is a", 70)],
+                                "concept_id_1 long, relationship_id string, concept_id_2 long")
+    df = spark.createDataFrame([(k, "old", None, 0) for k in ("x", "y", "z", "only", "none", None)] + [("x", "old", 9, 90)],
+                               "v string, vocabulary_id string, s long, c long")
+    for order, want in (("ABC", {("x", "B", 2, 20), ("y", "B", 3, 30), ("z", "C", 5, 0), ("only", "C", None, 0)}),
+                        ("CBA", {("x", "B", 2, 20), ("y", "C", 4, 40), ("z", "A", 6, 0), ("only", "A", 7, 0)})):
+        out, still = vo.fallback_mapping(df, concept, rel, dict.fromkeys(order, "concept_code"), "v", "s", "c")
+        none = {(k, order[-1], None, 0) for k in ("none", None)}
+        rows = out.select("v", "vocabulary_id", "s", "c").collect()
+        assert {tuple(r) for r in rows} == want | none | {("x", "old", 9, 90)} and len(rows) == 7
+        assert out.columns == df.columns and out.filter(still).count() == 4
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftOuter") == 2  # the lookup's edges, the data
+
+
+def test_unit_texts_by_order_column(spark, concept, rel):
+    units = spark.createDataFrame([("lab", "z", 1), ("lab", "a", 2)], "name string, unit string, place int")
+    df = spark.createDataFrame([("lab",)], "l string")
+    for table, want in ((units, "a"), (units.drop("place"), "z")):
+        out = vo.map_lab_units(df, table, concept.withColumns({"place": F.lit(1), "domain_id": F.lit("Unit")}),
+                               rel.withColumn("place", F.lit(1)), "l", "name", "unit", "place")
+        assert out.first().unit_source_value == want
+
+
 def test_update_concept_mappings(spark):
     df = spark.createDataFrame([("A1", 123), ("B2", 0), ("C3", 789), ("D4", None)], "src string, cid long")
     out = vo.update_concept_mappings(df, "src", "cid", {"B2": 456, "C3": 1, "D4": 7})
