@@ -78,25 +78,79 @@ def test_mask_secrets(spark, secret_texts):
     assert secrets.secret_spans(df.limit(0)).count() == 0 and secrets.mask_secrets(df.limit(0)).count() == 0
 
 
-def test_battery_statistics(spark):
-    value = "aB3dE5gH7jK9mN1pQr"
-    n, k = len(value), 64
-    squares = sum(c * c for c in Counter(value).values())
-    codes = np.array([ord(c) for c in value], float)
-    away = codes - codes.mean()
-    runs = len(re.findall("[0-9]+|[a-z]+|[A-Z]+", value))
-    from math import erfc, log, sqrt
-    tail = lambda z: erfc(z / sqrt(2)) / 2
-    chi = k / n * squares - n
-    p = [tail((k - 1 + n * 3.2 - chi) / sqrt(2 * (k - 1) + 4 * n * 3.2)),
-         tail((runs - 1 - (n - 1) * .25) / sqrt((n - 1) * .25 * .75))]
-    half = -log(p[0]) - log(p[1])
-    serial = (away[1:] * away[:-1]).sum() / (away ** 2).sum() * sqrt(n)
-    z_runs = (runs - 1 - (n - 1) * .645) / sqrt((n - 1) * .645 * .355)
+def normal_tail(z):
+    """The approximation 26.2.17 of Abramowitz and Stegun, which the battery uses, against the true tail."""
+    from math import erfc, exp, log, pi, sqrt
+    t = 1 / (1 + 0.2316419 * abs(z))
+    poly = sum(c * t ** i for i, c in enumerate((0.319381530, -0.356563782, 1.781477937, -1.821255978, 1.330274429), 1))
+    upper = exp(-z * z / 2) / sqrt(2 * pi) * poly
+    out, true = (upper if z >= 0 else 1 - upper), erfc(z / sqrt(2)) / 2
+    assert abs(out - true) < 1e-7 and (true < 1e-100 or abs(log(out / true)) < 0.1)
+    return out
+
+
+def battery_by_hand(value):
+    """(length, whether all three tests take it for random, -log10 of the combined p-value)."""
+    from math import log, log10, sqrt
+    tail = lambda z: max(1e-150, normal_tail(z))
+    _, _, k, switch, excess = next(e for e in secrets.ENCODINGS if re.search(e[1], value))
+    n = len(value)
+    chi = k / n * sum(c * c for c in Counter(value).values()) - n
+    switches = len(re.findall("[0-9]+|[a-z]+|[A-Z]+|[+/_-]+", value)) - 1
+    away = np.array([ord(c) for c in value], float) - np.mean([ord(c) for c in value])
+    spread = (away ** 2).sum()
+    serial = (away[1:] * away[:-1]).sum() / spread * sqrt(n) if spread else 99.0
+    z_runs = (switches - (n - 1) * switch) / sqrt((n - 1) * switch * (1 - switch))
+    looks = abs(serial) <= 3 and abs(z_runs) <= 3 and (chi - (k - 1)) / sqrt(2 * (k - 1)) <= 3
+    text = tail((k - 1 + n * excess - chi) / sqrt(2 * (k - 1) + 4 * n * excess)), \
+        tail((switches - (n - 1) * .25) / sqrt((n - 1) * .25 * .75)), tail(.8 * (1 - .25 / switch) * sqrt(n) - serial)
+    half = -sum(map(log, text)) / 1.513
+    return n, looks, half / log(10) - log10(1 + half)
+
+
+def random_by_hand(texts):
+    """All spans the battery accepts before the fixed patterns are held against them."""
+    tokens = [[(m.start(), m.end(), m.group()) for m in re.finditer(secrets.TOKEN, t or "")] for t in texts]
+    tests = {v: battery_by_hand(v) for found in tokens for _, _, v in found}
+    accepted = set()
+    for low, high in zip(secrets.BANDS, (*secrets.BANDS[1:], 10 ** 9)):
+        band = {v: min(int(max(0, d) / secrets.STEP), secrets.STEPS) for v, (n, _, d) in tests.items() if low <= n < high}
+        fine = [b for b in band.values()
+                if 10 ** (-b * secrets.STEP) <= secrets.FALSE_SHARE * sum(x >= b for x in band.values()) / len(band)]
+        accepted |= {v for v, b in band.items() if fine and b >= min(fine) and tests[v][1]}
+    return [[(a, b) for a, b, v in found if v in accepted] for found in tokens]
+
+
+@pytest.mark.parametrize("value", ["aB3dE5gH7jK9mN1pQr", "0123456789abcdef0123", "ABCDEFGHIJKLMNOPQR", "internationalization",
+                                   "aaaaaaaaaaaaaaaaaaaa", "QwErTyUiOpAsDfGhJkLz", "path/to-some_thing/else"])
+def test_battery_statistics(spark, value):
     from pyspark.sql import functions as F
     got = spark.range(1).select(F.lit(value).alias("v")).select(secrets.battery(F.col("v")).alias("b")).collect()[0].b
-    assert got.n == n and abs(got.bin - (half - log(1 + half)) / log(10) / secrets.STEP) <= 1.1
-    assert got.looks_random == (abs(serial) <= 3 and abs(z_runs) <= 3 and (chi - 63) / sqrt(126) <= 3)
+    n, looks, digits = battery_by_hand(value)
+    assert (got.n, got.looks_random) == (n, looks) and abs(got.bin - max(0, digits) / secrets.STEP) <= 1.1
+
+
+def test_random_spans_by_hand(spark):
+    rng = random.Random(8)
+    draw = lambda n, al: "".join(rng.choice(al) for _ in range(n))
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    both = lower + lower.upper()
+    texts = [f"Kapitel{i}-Abschnittswort{i} wort" * (1 + i % 3) for i in range(80)]
+    texts += [f"x {draw(n, al)} und {draw(n + 9, al)}" for n in (17, 25, 40, 64, 130) for al in (both + digits, both, lower + digits)]
+    copied = f"Inhaltsverzeichnis-Seite {draw(40, both)}"
+    texts += [copied] * 400  # copies of a token are one test
+    dense = " ".join(rng.choice((draw(33, both + digits), f"secret={draw(40, both + digits)}", draw(20, "0123456789abcdef"), "wort"))
+                     for _ in range(900))
+    texts += [dense, None, "", "secret: " + draw(30, both) + "." + draw(50, both + digits)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in secrets.secret_spans(df).collect()}
+    n_letters = 0
+    for i, (t, spans) in enumerate(zip(texts, random_by_hand(texts))):
+        base = base_by_hand(t or "")
+        want = [(a, 3, b) for a, b in spans if not any(x < b and a < y for x, _, y in base)]
+        assert rows[i].spans == written(sorted(base + want))
+        n_letters += sum(t[a:b].isalpha() for a, _, b in want)
+    assert n_letters > 400  # letters alone are tested as well
 
 
 # -- toxicity --------------------------------------------------------------------
