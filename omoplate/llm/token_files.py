@@ -202,8 +202,11 @@ def write_token_files(docs: DataFrame, folder: str, path: str, pieces=words, end
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "uri": [uri],
                                               "n_docs": [len(out.docs)], "n_ids": [out.n_ids]})
 
-    dealt = doc_texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_first(), "text")
+    # rows of one doc_id or without one are spread as well: by how their text begins, its hash, and equal rows by place
+    order = [F.col("doc_id").asc_nulls_first(), F.col("head"), F.col("hash"), F.col("place")]
+    dealt = doc_texts(docs).withColumns({"head": F.substring("text", 1, 64), "hash": F.xxhash64("text"),
+                                         "place": F.monotonically_increasing_id()})
+    dealt = dealt.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = cut_lineage(dealt.mapInArrow(run, "part int, uri string, n_docs long, n_ids long"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("before", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)))
@@ -237,7 +240,9 @@ def token_file_rows(docs: DataFrame, path: str, folder: str | None = None, end_i
     """One row per row of ``docs``, from the files: ``doc_id, start, n_tokens, ids_crc32``.
 
     A null or empty text has the end id alone. Rows without a doc_id come
-    first; rows that repeat a doc_id are ordered by their text. An empty
+    first; rows that repeat a doc_id are ordered by their text's first 64
+    characters, then by its xxhash64.
+    A very long text is encoded in pieces and lies in one file. An empty
     table gives no file and no rows; other columns are ignored.
     """
     spark = ready(docs.sparkSession)
