@@ -96,7 +96,9 @@ def neighbours(vectors: DataFrame, top: int = 10, every: int = EVERY, key: str =
 
     Rows without an id and vectors that are null, empty, zero or hold null
     or non-finite components take no part, nor do vectors whose length is
-    not the most common one. Repeated rows count once. With fewer than
+    not the most common one. Repeated rows count once; where an id has
+    several vectors, two ids are as near as the nearest two of their
+    vectors, and an id comes once in a list. With fewer than
     ``top`` other rows all are returned; an empty table gives no rows.
     Other columns are ignored.
     """
@@ -184,20 +186,29 @@ def neighbours(vectors: DataFrame, top: int = 10, every: int = EVERY, key: str =
                 about = own[:, None] + norm[None] - 2 * q @ m.T
                 about[~seen[:, cell]] = np.inf
                 for i, row in enumerate(about):
-                    edge = np.partition(row, top)[top] if len(row) > top else np.inf
-                    # rounding of the expanded square is far below this
-                    close = np.flatnonzero((row <= edge + 1e-9 * (own[i] + norm.max())) & np.isfinite(row))
-                    true = np.sqrt(((m[close] - q[i]) ** 2).sum(1))
-                    found = sorted((d, v) for d, e in zip(true.tolist(), close.tolist()) for v in ids[e] if v != q_ids[i])[:top]
+                    found, reach = {}, top
+                    while True:  # ids of several vectors may fill places with themselves: then look further
+                        edge = np.partition(row, reach)[reach] if len(row) > reach else np.inf
+                        # rounding of the expanded square is far below this
+                        close = np.flatnonzero((row <= edge + 1e-9 * (own[i] + norm.max())) & np.isfinite(row))
+                        true = np.sqrt(((m[close] - q[i]) ** 2).sum(1))
+                        for d, v in sorted((d, v) for d, e in zip(true.tolist(), close.tolist()) for v in ids[e]):
+                            if v != q_ids[i] and len(found) < top:
+                                found.setdefault(v, d)
+                        if len(found) == top or not np.isfinite(edge):
+                            break
+                        found, reach = {}, 4 * reach
                     out[0].extend([int(q_ids[i])] * len(found))
-                    out[1].extend(v for _, v in found)
-                    out[2].extend(d for d, _ in found)
+                    out[1].extend(found.keys())
+                    out[2].extend(found.values())
         return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64()))],
                         names=["query_id", "vec_id", "score"])
 
     ranked = sliced.groupBy("slice", "grp").cogroup(sent.groupBy("slice", "grp")).applyInArrow(
         rank, "query_id long, vec_id long, score double")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    # one exchange by query serves the grouping and the ranks
+    ranked = ranked.repartition("query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     return ranked.withColumn("rank", place).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 

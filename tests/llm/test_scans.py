@@ -244,6 +244,26 @@ def test_neighbours(spark, vectors, slice_rows, group):
     assert not got and hits > 0.95 * total
 
 
+@pytest.mark.parametrize("slice_rows", [1 << 14, 7])
+def test_an_id_of_several_vectors(spark, slice_rows):
+    rng = np.random.default_rng(6)
+    rows = [(int(i), rng.normal(0, 1, 4).tolist()) for i in rng.integers(1, 40, 300)]  # every id has several
+    rows += [(1, (rng.normal(0, .01, 4) + 1).tolist()) for _ in range(60)]  # and one fills more places than a list has
+    rows += [(100, [1.0] * 4), (100, [-1.0] * 4), (200, [2.0] * 4), (200, [2.0] * 4)]
+    vectors_of = defaultdict(list)
+    for i, v in rows:
+        vectors_of[i].append(np.array(v))
+    got = defaultdict(list)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in multi_index.neighbours(df, k=4, share=1.0, slice_rows=slice_rows).orderBy("rank").collect():
+        got[r.query_id].append((r.vec_id, r.score))
+    assert set(got) == {100, 200}
+    for q, own in got.items():
+        near = {i: min(np.sqrt(((a - b) ** 2).sum()) for a in vs for b in vectors_of[q]) for i, vs in vectors_of.items() if i != q}
+        want = sorted((d, i) for i, d in near.items())[:10]
+        assert [i for i, _ in own] == [i for _, i in want] and np.allclose([d for _, d in own], [d for d, _ in want], atol=1e-12)
+
+
 def test_all_cells_give_the_exact_result(spark, vectors):
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
     got = defaultdict(list)
