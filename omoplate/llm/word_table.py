@@ -111,7 +111,7 @@ def _by_words(docs: DataFrame, path: str, chunk_bytes: int, bucket_bytes: int, s
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("chunk"), pa.array(data, pa.binary())],
                                              names=["doc_id", "chunk", "data"])
 
-    dealt = doc_texts(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n_chunks)).cast("int")
+    dealt = doc_texts(docs).withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_chunks)).cast("int")
                                        ).mapInArrow(squeeze, "doc_id long, chunk int, data binary")
 
     def send(t: pa.Table) -> pa.Table:
