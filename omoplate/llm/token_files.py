@@ -233,7 +233,9 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.binary()))],
                                           names=["doc_id", "start", "ids"])
 
-    return manifest.repartition("uri").mapInArrow(run, "doc_id long, start long, ids binary")
+    # a stated number of partitions, as Spark would read all files in one task for the manifest's few bytes
+    files = manifest.repartitionByRange(max(1, manifest.count()), "uri")
+    return files.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
 def token_file_rows(docs: DataFrame, path: str, folder: str | None = None, end_id: int | None = END_ID) -> DataFrame:
